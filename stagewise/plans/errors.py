@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Texts put before a message.
+# Texts put before a message, spelled as consumers of the log expect.
 CUSTOM_PREFIX = "Failure; "
-UNHANDLED_PREFIX = "Unhandled exception... "
+UNHANDLED_PREFIX = "Unhandled Excpetion..."
 
 
 @dataclass(frozen=True)

@@ -15,12 +15,12 @@ LOG_SCHEMA = (
     "ProcessSeconds decimal(18,2), ErrorMessage string, MaxEffectiveDate timestamp_ntz, EtlConfigKey string"
 )
 
-# Constants a keyed upsert writes into its log record.
-UPSERT_CONSTANTS = {
-    "ProcessType": "Stored Procedure",
-    "ProcessName": "SP-mergeStageToTarget",
-    "SourceType": "Azure SQL Database Table",
-    "DestinationType": "Azure SQL Database Table",
+# What an upsert's log record says about its process and both ends, unless told otherwise.
+UPSERT_LABELS = {
+    "ProcessType": "Spark job",
+    "ProcessName": "keyed upsert",
+    "SourceType": "table",
+    "DestinationType": "table",
 }
 
 # What the calling pipeline passes in for the log.
@@ -44,18 +44,20 @@ def log_records(outcomes: DataFrame, created_on: datetime | Column) -> DataFrame
     )
 
 
-def upsert_log_records(outcomes: DataFrame, pipeline: dict[str, str]) -> DataFrame:
-    """Log rows of the keyed-upsert path: pipeline identity, constants, real counts."""
+def upsert_log_records(
+    outcomes: DataFrame, pipeline: dict[str, str], labels: dict[str, str] | None = None
+) -> DataFrame:
+    """Log rows of the keyed-upsert path: pipeline identity, labels, real counts."""
     identity = [F.lit(pipeline.get(name)).cast("string").alias(name) for name in PIPELINE_FIELDS]
-    constants = {name: F.lit(value).alias(name) for name, value in UPSERT_CONSTANTS.items()}
+    label = {name: F.lit(text).alias(name) for name, text in {**UPSERT_LABELS, **(labels or {})}.items()}
     return outcomes.select(
         "ProcessUserKey",
         *identity,
-        constants["ProcessType"],
-        constants["ProcessName"],
-        constants["SourceType"],
+        label["ProcessType"],
+        label["ProcessName"],
+        label["SourceType"],
         "SourceName",
-        constants["DestinationType"],
+        label["DestinationType"],
         "DestinationName",
         "RowsInserted",
         "RowsUpdated",
