@@ -46,10 +46,12 @@ _WEEKDAY = r"(Mon|Tue|Wed|Thu|Fri|Sat|Sun)"
 class Shape:
     """A format's regular expression and the pattern Spark parses it with.
 
-    ``has_zone`` is false for formats without offset or zone; their wall time is
-    taken as UTC. ``strip`` removes text Spark's parser has no letter for.
+    ``fifth`` lists what the fifth character can be, ``0`` standing for a digit; it is
+    a cheap first test. ``has_zone`` is false for formats without offset or zone; their
+    wall time is taken as UTC. ``strip`` removes text Spark's parser has no letter for.
     """
 
+    fifth: str
     regex: str
     pattern: str
     has_zone: bool
@@ -57,14 +59,15 @@ class Shape:
 
 
 SHAPES = (
-    Shape(r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd", False),
-    Shape(r"^\d{8}$", "yyyyMMdd", False),
-    Shape(r"^\d{4}/\d{2}/\d{2}$", "yyyy/MM/dd", False),
-    Shape(rf"^\d{{4}}-\d{{2}}-\d{{2}}T{_CLOCK}Z$", "yyyy-MM-dd'T'HH:mm:ss'Z'", False),
-    Shape(rf"^\d{{4}}-\d{{2}}-\d{{2}}T{_CLOCK}\.\d{{3}}{_COLON_OFFSET}$", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", True),
-    Shape(rf"^\d{{4}}-\d{{2}}-\d{{2}}T{_CLOCK}\.\d{{3}}{_OFFSET}$", "yyyy-MM-dd'T'HH:mm:ss.SSSZ", True),
-    Shape(rf"^\d{{12}}{_OFFSET}$", "yyMMddHHmmssZ", True),
+    Shape("-", r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd", False),
+    Shape("0", r"^\d{8}$", "yyyyMMdd", False),
+    Shape("/", r"^\d{4}/\d{2}/\d{2}$", "yyyy/MM/dd", False),
+    Shape("-", rf"^\d{{4}}-\d{{2}}-\d{{2}}T{_CLOCK}Z$", "yyyy-MM-dd'T'HH:mm:ss'Z'", False),
+    Shape("-", rf"^\d{{4}}-\d{{2}}-\d{{2}}T{_CLOCK}\.\d{{3}}{_COLON_OFFSET}$", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", True),
+    Shape("-", rf"^\d{{4}}-\d{{2}}-\d{{2}}T{_CLOCK}\.\d{{3}}{_OFFSET}$", "yyyy-MM-dd'T'HH:mm:ss.SSSZ", True),
+    Shape("0", rf"^\d{{12}}{_OFFSET}$", "yyMMddHHmmssZ", True),
     Shape(
+        " ",
         rf"^{_WEEKDAY}, \d{{1,2}} [A-Z][a-z]{{2}} \d{{4}} {_CLOCK} {_OFFSET}$",
         "d MMM yyyy HH:mm:ss Z",
         True,
@@ -72,21 +75,23 @@ SHAPES = (
     ),
     # The year of this format has five digits, the month may be short or long.
     Shape(
+        ".0",
         r"^0?\d{4}\.[A-Z][a-z]{2}\.\d{2} (AD|BC) \d{2}:\d{2} (AM|PM)$",
         "yyyy.MMM.dd G hh:mm a",
         False,
         strip=r"^0(?=\d{4}\.)",
     ),
     Shape(
+        ".0",
         r"^0?\d{4}\.[A-Z][a-z]{3,}\.\d{2} (AD|BC) \d{2}:\d{2} (AM|PM)$",
         "yyyy.MMMM.dd G hh:mm a",
         False,
         strip=r"^0(?=\d{4}\.)",
     ),
-    Shape(rf"^\d{{4}}\.\d{{2}}\.\d{{2}} (AD|BC) at {_CLOCK} \S+$", "yyyy.MM.dd G 'at' HH:mm:ss z", True),
-    Shape(rf"^\d{{4}}/\d{{2}}/\d{{2}}T{_CLOCK}Z$", "yyyy/MM/dd'T'HH:mm:ss'Z'", False),
-    Shape(rf"^\d{{4}}/\d{{2}}/\d{{2}}T{_CLOCK}\.\d{{3}}{_COLON_OFFSET}$", "yyyy/MM/dd'T'HH:mm:ss.SSSXXX", True),
-    Shape(rf"^\d{{4}}/\d{{2}}/\d{{2}}T{_CLOCK}\.\d{{3}}{_OFFSET}$", "yyyy/MM/dd'T'HH:mm:ss.SSSZ", True),
+    Shape(".", rf"^\d{{4}}\.\d{{2}}\.\d{{2}} (AD|BC) at {_CLOCK} \S+$", "yyyy.MM.dd G 'at' HH:mm:ss z", True),
+    Shape("/", rf"^\d{{4}}/\d{{2}}/\d{{2}}T{_CLOCK}Z$", "yyyy/MM/dd'T'HH:mm:ss'Z'", False),
+    Shape("/", rf"^\d{{4}}/\d{{2}}/\d{{2}}T{_CLOCK}\.\d{{3}}{_COLON_OFFSET}$", "yyyy/MM/dd'T'HH:mm:ss.SSSXXX", True),
+    Shape("/", rf"^\d{{4}}/\d{{2}}/\d{{2}}T{_CLOCK}\.\d{{3}}{_OFFSET}$", "yyyy/MM/dd'T'HH:mm:ss.SSSZ", True),
 )
 
 
@@ -115,19 +120,31 @@ def parse_timestamp(text: Column, pivot_year: int | None = None) -> Column:
     Two-digit years fall in 2000-2099; ``pivot_year`` (say 2050) moves those after
     it into the century before.
     """
-    branch = None
-    for shape in SHAPES:
-        value = F.regexp_replace(text, shape.strip, "") if shape.strip else text
-        parsed = parse_utc(value, shape.pattern, shape.has_zone)
-        matches = text.rlike(shape.regex)
-        branch = F.when(matches, parsed) if branch is None else branch.when(matches, parsed)
-    parsed = utc_wall_time(branch)
+    fifth = F.substring(text, 5, 1)
+    parsed = (
+        F.when(fifth == "-", _first_match(text, "-"))
+        .when(fifth == "/", _first_match(text, "/"))
+        .when(fifth == ".", _first_match(text, "."))
+        .when(fifth == " ", _first_match(text, " "))
+        .when(fifth.between("0", "9"), _first_match(text, "0"))
+    )
+    parsed = utc_wall_time(parsed)
     if pivot_year is not None:
         two_digit = text.rlike(rf"^\d{{12}}{_OFFSET}$") & (F.year(parsed) > pivot_year)
         parsed = F.when(two_digit, parsed - F.expr("INTERVAL 100 YEAR")).otherwise(parsed)
     return parsed
 
 
+def _first_match(text: Column, fifth: str) -> Column:
+    """Parse by the shape the text has, among those with this fifth character."""
+    branch = F
+    for shape in SHAPES:
+        if fifth in shape.fifth:
+            value = F.regexp_replace(text, shape.strip, "") if shape.strip else text
+            branch = branch.when(text.rlike(shape.regex), parse_utc(value, shape.pattern, shape.has_zone))
+    return branch
+
+
 def or_sentinel(parsed: Column) -> Column:
     """Replace a missing timestamp by the fixed sentinel."""
     return F.coalesce(parsed, F.expr(f"TIMESTAMP_NTZ'{SENTINEL}'"))

@@ -8,6 +8,7 @@ failing rows keep all their raw columns.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +52,7 @@ def bad_columns(types: Mapping[str, str]) -> Column:
 
 
 def typed_columns(types: Mapping[str, str]) -> list[Column]:
+    """The declared columns cast to their types, without a verdict."""
     return [strict_cast(column(name), group).alias(name) for name, group in types.items()]
 
 
@@ -65,11 +67,12 @@ def with_verdict(df: DataFrame, spec) -> DataFrame:
 def enforce(df: DataFrame, spec, distinct: bool = True) -> tuple[DataFrame, DataFrame]:
     """Typed passing rows and raw failing rows of ``df``, duplicates removed first."""
     types = declared_types(spec)
-    rows = df.distinct() if distinct else df
-    checked = _cast_once(rows, types)
-    passed = checked.filter(F.size("_cast.bad") == 0).select("_cast.typed.*")
-    failed = checked.filter(F.size("_cast.bad") > 0).select(
-        *columns(df.columns), F.col("_cast.bad").alias(BAD_COLUMNS), F.lit(FAIL).alias(VERDICT)
+    checked = _cast_once(df.distinct() if distinct else df, types)
+    passed = checked.filter(~F.col("_found.failed")).select(
+        *[column(f"_typed_{name}").alias(name) for name in types]
+    )
+    failed = checked.filter(F.col("_found.failed")).select(
+        *columns(df.columns), F.col("_found.bad").alias(BAD_COLUMNS), F.lit(FAIL).alias(VERDICT)
     )
     return passed, failed
 
@@ -77,11 +80,17 @@ def enforce(df: DataFrame, spec, distinct: bool = True) -> tuple[DataFrame, Data
 def _cast_once(rows: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Rows with their casts and bad columns, each cast evaluated a single time.
 
-    A filter on the verdict would be pushed below the projection and repeat every
-    cast there; it cannot be pushed below a generator.
+    A filter on the verdict would be pushed below the projection and repeat every cast
+    there. It cannot be pushed below a generator, so the verdict is made by one.
     """
-    typed = F.struct(*typed_columns(types)).alias("typed")
-    return rows.withColumn("_cast", F.explode(F.array(F.struct(typed, bad_columns(types).alias("bad")))))
+    casts = {f"_typed_{name}": strict_cast(column(name), group) for name, group in types.items()}
+    bad = {
+        name: is_bad(column(name), column(f"_typed_{name}")) for name, group in types.items() if group != "string"
+    }
+    failed = reduce(lambda a, b: a | b, bad.values(), F.lit(False))
+    names = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in bad.items()]))
+    found = F.struct(failed.alias("failed"), F.when(failed, names.cast("array<string>")).alias("bad"))
+    return rows.withColumns(casts).withColumn("_found", F.explode(F.array(found)))
 
 
 def cast_projection(spec, quote_all: bool = True) -> list[str]:

@@ -139,17 +139,18 @@ def _join_current(
     in_current = column(keys[0], "c").isNotNull()
     stage_age = F.struct(*columns(age, "s"))
     current_age = F.struct(*columns(age, "c"))
-    stage_wins = in_stage & (~in_current | (stage_age >= current_age))
+    wins = F.col("_wins")
+    decided = pair.withColumn("_wins", in_stage & (~in_current | (stage_age >= current_age)))
 
     def pick(name: str) -> Column:
         missing = F.lit(None)
         new = column(name, "s") if name in stage.columns else missing
         old = column(name, "c") if name in current.columns else missing
-        return F.when(stage_wins, new).otherwise(old).alias(name)
+        return F.when(wins, new).otherwise(old).alias(name)
 
-    action = F.when(~stage_wins, "KEEP").when(in_current, "UPDATE").otherwise("INSERT")
-    rank2 = stage_wins & in_current & (F.col("s._next_age").isNull() | (F.col("s._next_age") < current_age))
-    return pair.select(*[pick(name) for name in names], action.alias("_action"), rank2.alias("_rank2"))
+    action = F.when(~wins, "KEEP").when(in_current, "UPDATE").otherwise("INSERT")
+    rank2 = wins & in_current & (F.col("s._next_age").isNull() | (F.col("s._next_age") < current_age))
+    return decided.select(*[pick(name) for name in names], action.alias("_action"), rank2.alias("_rank2"))
 
 
 def _rank_null_keys(

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stagewise.functions.names import column, columns, key_list
 from stagewise.functions.timestamps import wall_time
@@ -49,19 +50,19 @@ def duplicate_keys(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
 
 
 def require_unique_keys(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
-    """The same rows; the query fails when a key occurs twice.
+    """The same rows; the query fails when a complete key occurs twice.
 
-    Copies of a key are folded map-side, so a hot key cannot overload a task before
-    it is reported, and the aggregation's partitioning serves a join on the keys.
+    The check is a scalar subquery over the key columns alone. Copies of a key are
+    folded before its shuffle, and the rows themselves keep their partitioning, so
+    adaptive execution can still split a join they take part in.
     """
     keys = key_list(keys)
-    rest = [name for name in df.columns if name not in keys]
-    folded = df.groupBy(*columns(keys)).agg(
-        F.count("*").alias("_rows"), *[F.first(column(name)).alias(name) for name in rest]
+    repeated = duplicate_keys(df, keys).agg(
+        F.count("*").alias("n"), F.min(F.to_json(F.struct(*columns(keys)))).alias("example")
     )
-    message = F.concat(F.lit("more than one source row for key "), F.to_json(F.struct(*columns(keys))))
-    unique = F.when(F.col("_rows") == 1, True).otherwise(F.raise_error(message).cast("boolean"))
-    return folded.filter(unique).select(*columns(df.columns))
+    message = F.format_string("%d keys have more than one source row, such as %s", F.col("n"), F.col("example"))
+    verdict = F.when(F.col("n") == 0, True).otherwise(F.raise_error(message).cast("boolean"))
+    return df.filter(repeated.select(verdict.alias("unique")).scalar())
 
 
 def changes(
@@ -108,8 +109,9 @@ def upsert(
     ``values`` are the columns taken from the source (default: all but keys and audit
     column). Other target columns keep their value on update and are null on insert;
     the audit column is stamped on update only. The target may hold several rows per
-    key, also very many: it stays the splittable side of its join. With
-    ``target_unique`` one full outer join does the work of two joins.
+    key, also very many: it stays the side of its join that adaptive execution can
+    split. With ``target_unique`` one full outer join does the work of two joins; its
+    sides cannot be split, which only matters when a target key has very many rows.
     """
     keys = key_list(keys)
     if values is None:
@@ -121,24 +123,6 @@ def upsert(
     matchable = require_unique_keys(incoming.filter(keys_complete(keys)), keys)
     current = target.filter(keys_complete(keys))
 
-    def merged(how_action: Column) -> list[Column]:
-        is_insert = how_action == INSERT
-        is_update = how_action == UPDATE
-        out = []
-        for field in target.schema.fields:
-            name = field.name
-            old = column(name, "t")
-            if name in keys:
-                value = F.coalesce(old, column(name, "s"))
-            elif name in values:
-                value = F.when(is_insert | is_update, column(name, "s")).otherwise(old)
-            elif name == audit_column:
-                value = F.when(is_update, stamp.cast(field.dataType)).otherwise(old)
-            else:
-                value = old
-            out.append(value.alias(name))
-        return [*out, how_action.alias("_action")]
-
     has_source = column(keys[0], "s").isNotNull()
     has_target = column(keys[0], "t").isNotNull()
     action = (
@@ -147,13 +131,14 @@ def upsert(
         .when(values_differ(values), UPDATE)
         .otherwise(UNCHANGED)
     )
+    cells = [_merged_cell(field, keys, values, audit_column, stamp) for field in target.schema.fields]
     if target_unique:
         pair = matchable.alias("s").join(current.alias("t"), keys_equal(keys), "full_outer")
-        result = pair.select(*merged(action))
+        result = pair.withColumn("_action", action).select(*cells, "_action")
     else:
         pair = current.alias("t").join(matchable.alias("s"), keys_equal(keys), "left")
-        new = inserts(current, matchable, keys, values)
-        result = pair.select(*merged(action)).unionByName(_as_inserted(new, target))
+        result = pair.withColumn("_action", action).select(*cells, "_action")
+        result = result.unionByName(_as_inserted(inserts(current, matchable, keys, values), target))
 
     result = result.unionByName(
         target.filter(~keys_complete(keys)).withColumn("_action", F.lit(TARGET_ONLY))
@@ -163,6 +148,22 @@ def upsert(
     return result
 
 
+def _merged_cell(
+    field: T.StructField, keys: Sequence[str], values: Sequence[str], audit_column: str, stamp: Column
+) -> Column:
+    """One target column after the merge, given the row's ``_action``."""
+    name, action, old = field.name, F.col("_action"), column(field.name, "t")
+    if name in keys:
+        value = F.coalesce(old, column(name, "s"))
+    elif name in values:
+        value = F.when(action.isin(INSERT, UPDATE), column(name, "s")).otherwise(old)
+    elif name == audit_column:
+        value = F.when(action == UPDATE, stamp.cast(field.dataType)).otherwise(old)
+    else:
+        value = old
+    return value.alias(name)
+
+
 def null_key_rows(source: DataFrame, keys: str | Iterable[str]) -> DataFrame:
     """Source rows a key equality can never match, for quarantine."""
     return source.filter(~keys_complete(key_list(keys)))

@@ -71,8 +71,13 @@ def now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
 
 
-def merge_stage(spark: SparkSession, load: TableLoad, stage: DataFrame, outcome: Outcome) -> None:
-    """Merge staged rows into the current table in one job, counting while writing."""
+def merge_stage(
+    spark: SparkSession, load: TableLoad, stage: DataFrame, outcome: Outcome, facts: dict | None = None
+) -> None:
+    """Merge staged rows into the current table in one job, counting while writing.
+
+    The counts are stored with the commit, next to any ``facts`` given.
+    """
     table = CurrentTable(spark, load.current_path, load.keys, load.buckets)
     keys = key_list(load.keys)
     current = None if is_full_reload(load.source_watermark) else table.read()
@@ -94,12 +99,12 @@ def merge_stage(spark: SparkSession, load: TableLoad, stage: DataFrame, outcome:
     latest = table.latest()
     placed = current is not None and load.buckets is not None and latest.buckets == load.buckets
     path = table.write_version(rows, placed)
-    facts = counted.get
-    table.switch_to(path, ddl_of(rows), facts)
-    outcome.rows_inserted = facts["inserted"]
-    outcome.rows_updated = facts["updated"]
-    outcome.rows_updated_rank2 = facts["updated_rank2"]
-    outcome.max_effective_date = facts["max_effective_date"]
+    counts = counted.get
+    table.switch_to(path, ddl_of(rows), {**(facts or {}), **counts})
+    outcome.rows_inserted = counts["inserted"]
+    outcome.rows_updated = counts["updated"]
+    outcome.rows_updated_rank2 = counts["updated_rank2"]
+    outcome.max_effective_date = counts["max_effective_date"]
 
 
 def publish_current(spark: SparkSession, load: TableLoad) -> None:
@@ -162,18 +167,18 @@ def upsert_table(spark: SparkSession, config: TableUpsert, batch_time: datetime
             config.audit_column, config.insert_null_keys,
         )
         counted = Observation()
-        newest = F.max(column(config.effective_date)) if config.effective_date else F.lit(None).cast("timestamp_ntz")
+        dated = column(config.effective_date) if config.effective_date else F.lit(None).cast("timestamp_ntz")
         rows = merged.observe(
             counted,
             F.count_if(F.col("_action") == INSERT).alias("inserted"),
             F.count_if(F.col("_action") == UPDATE).alias("updated"),
-            (newest if config.effective_date else F.max(newest)).alias("max_effective_date"),
+            F.max(dated).alias("max_effective_date"),
         ).drop("_action")
         path = table.write_version(rows)
-        facts = counted.get
-        table.switch_to(path, ddl_of(rows), facts)
-        outcome.rows_inserted, outcome.rows_updated = facts["inserted"], facts["updated"]
-        outcome.max_effective_date = facts["max_effective_date"]
+        counts = counted.get
+        table.switch_to(path, ddl_of(rows), counts)
+        outcome.rows_inserted, outcome.rows_updated = counts["inserted"], counts["updated"]
+        outcome.max_effective_date = counts["max_effective_date"]
         outcome.steps.append("merge")
     except Exception as error:  # noqa: BLE001 - every failure becomes a log row
         outcome.error_message = f"{type(error).__name__}: {error}"

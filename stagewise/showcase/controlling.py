@@ -14,7 +14,7 @@ from stagewise.functions.text import (
 from stagewise.functions.timestamps import strip_offset
 from stagewise.operators.merge import merge_into_current
 from stagewise.operators.rows import first_row_text, split_to_rows
-from stagewise.operators.watermarks import destination_watermark, source_watermark
+from stagewise.operators.watermarks import newest_at_destination, newest_at_source, source_watermark
 from stagewise.plans import config as cf
 from stagewise.plans import log as lg
 from stagewise.plans.errors import Rule, classify
@@ -106,10 +106,10 @@ def watermark_update(spark, folder):
         ntz("1900-01-01 00:00:00").alias("SourceMaxEffectiveDate"),
         ntz("2020-01-01 00:00:00").alias("ModifiedOn"),
     )
-    at_destination = destination_watermark(orders, "o_orderdate", by=["o_custkey"])
-    at_source = source_watermark(orders, "date_text", by=["o_custkey"])
-    both = at_destination.join(at_source, "o_custkey").withColumnRenamed("o_custkey", "EtlConfigKey")
-    return cf.update_watermarks(config, both, "EtlConfigKey", ntz(BATCH_TIME))
+    marks = orders.groupBy(F.col("o_custkey").alias("EtlConfigKey")).agg(
+        newest_at_destination("o_orderdate"), newest_at_source("date_text")
+    )
+    return cf.update_watermarks(config, marks, "EtlConfigKey", ntz(BATCH_TIME))
 
 
 # -- process log ---------------------------------------------------------------------

@@ -84,7 +84,8 @@ def updates(spark, folder):
 
 def merged(spark, folder):
     target, source = inputs.upsert_sides(spark, folder)
-    return up.upsert(target, source, ORDER_KEYS, ORDER_VALUES, ntz(BATCH_TIME))
+    # An order key occurs once in the target, so one full outer join is enough.
+    return up.upsert(target, source, ORDER_KEYS, ORDER_VALUES, ntz(BATCH_TIME), target_unique=True)
 
 
 def action_counts(spark, folder):

@@ -74,7 +74,7 @@ def test_duplicate_source_keys_fail(tables, unique):
     target, source = tables
     doubled = source.union(source.filter("k = 1"))
     assert as_multiset(up.duplicate_keys(doubled, ["k", "g"]), ["k", "n_rows"]) == [(1, 2)]
-    with pytest.raises(Exception, match="more than one source row"):
+    with pytest.raises(Exception, match="more than one source row, such as"):
         up.upsert(target, doubled, ["k", "g"], batch_time=BATCH, target_unique=unique).collect()
 
 
