@@ -7,7 +7,7 @@ one. All results are ``timestamp_ntz`` holding UTC wall time.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.sql import Column
@@ -37,64 +37,10 @@ SENTINEL = "1900-01-01 00:00:00"
 OUTPUT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 _OFFSET = r"[+-]\d{4}"
-_COLON_OFFSET = r"(Z|[+-]\d{2}:\d{2})"
 _CLOCK = r"\d{2}:\d{2}:\d{2}"
 _WEEKDAY = r"(Mon|Tue|Wed|Thu|Fri|Sat|Sun)"
 
 
-@dataclass(frozen=True)
-class Shape:
-    """A format's regular expression and the pattern Spark parses it with.
-
-    ``fifth`` lists what the fifth character can be, ``0`` standing for a digit; it is
-    a cheap first test. ``has_zone`` is false for formats without offset or zone; their
-    wall time is taken as UTC. ``strip`` removes text Spark's parser has no letter for.
-    """
-
-    fifth: str
-    regex: str
-    pattern: str
-    has_zone: bool
-    strip: str | None = None
-
-
-SHAPES = (
-    Shape("-", r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd", False),
-    Shape("0", r"^\d{8}$", "yyyyMMdd", False),
-    Shape("/", r"^\d{4}/\d{2}/\d{2}$", "yyyy/MM/dd", False),
-    Shape("-", rf"^\d{{4}}-\d{{2}}-\d{{2}}T{_CLOCK}Z$", "yyyy-MM-dd'T'HH:mm:ss'Z'", False),
-    Shape("-", rf"^\d{{4}}-\d{{2}}-\d{{2}}T{_CLOCK}\.\d{{3}}{_COLON_OFFSET}$", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", True),
-    Shape("-", rf"^\d{{4}}-\d{{2}}-\d{{2}}T{_CLOCK}\.\d{{3}}{_OFFSET}$", "yyyy-MM-dd'T'HH:mm:ss.SSSZ", True),
-    Shape("0", rf"^\d{{12}}{_OFFSET}$", "yyMMddHHmmssZ", True),
-    Shape(
-        " ",
-        rf"^{_WEEKDAY}, \d{{1,2}} [A-Z][a-z]{{2}} \d{{4}} {_CLOCK} {_OFFSET}$",
-        "d MMM yyyy HH:mm:ss Z",
-        True,
-        strip=r"^[A-Za-z]+, ",
-    ),
-    # The year of this format has five digits, the month may be short or long.
-    Shape(
-        ".0",
-        r"^0?\d{4}\.[A-Z][a-z]{2}\.\d{2} (AD|BC) \d{2}:\d{2} (AM|PM)$",
-        "yyyy.MMM.dd G hh:mm a",
-        False,
-        strip=r"^0(?=\d{4}\.)",
-    ),
-    Shape(
-        ".0",
-        r"^0?\d{4}\.[A-Z][a-z]{3,}\.\d{2} (AD|BC) \d{2}:\d{2} (AM|PM)$",
-        "yyyy.MMMM.dd G hh:mm a",
-        False,
-        strip=r"^0(?=\d{4}\.)",
-    ),
-    Shape(".", rf"^\d{{4}}\.\d{{2}}\.\d{{2}} (AD|BC) at {_CLOCK} \S+$", "yyyy.MM.dd G 'at' HH:mm:ss z", True),
-    Shape("/", rf"^\d{{4}}/\d{{2}}/\d{{2}}T{_CLOCK}Z$", "yyyy/MM/dd'T'HH:mm:ss'Z'", False),
-    Shape("/", rf"^\d{{4}}/\d{{2}}/\d{{2}}T{_CLOCK}\.\d{{3}}{_COLON_OFFSET}$", "yyyy/MM/dd'T'HH:mm:ss.SSSXXX", True),
-    Shape("/", rf"^\d{{4}}/\d{{2}}/\d{{2}}T{_CLOCK}\.\d{{3}}{_OFFSET}$", "yyyy/MM/dd'T'HH:mm:ss.SSSZ", True),
-)
-
-
 def wall_time(moment: datetime) -> Column:
     """A Python time as a ``timestamp_ntz`` literal; aware times are taken to UTC."""
     if moment.tzinfo is not None:
@@ -114,35 +60,96 @@ def parse_utc(text: Column, pattern: str, has_zone: bool) -> Column:
     return F.try_to_timestamp(text, F.lit(pattern))
 
 
+def _local(text: Column) -> Column:
+    """``2020-03-08`` or ``2020/03/08``, alone or with ``T02:30:00Z``; the Z is only a mark."""
+    return F.left(F.translate(text, "/", "-"), F.lit(19)).try_cast("timestamp_ntz")
+
+
+def _zoned(text: Column) -> Column:
+    """Date and time with milliseconds and an offset."""
+    return utc_wall_time(F.translate(text, "/", "-").try_cast("timestamp"))
+
+
+def _digits(text: Column) -> Column:
+    """``20200308``"""
+    parts = [F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)]
+    return F.concat_ws("-", *parts).try_cast("timestamp_ntz")
+
+
+def _pattern(pattern: str, has_zone: bool, strip: str | None = None) -> Callable[[Column], Column]:
+    """Parse by pattern, after removing text Spark's parser has no letter for."""
+
+    def read(text: Column) -> Column:
+        value = F.regexp_replace(text, strip, "") if strip else text
+        return utc_wall_time(parse_utc(value, pattern, has_zone))
+
+    return read
+
+
+# Shapes by their fifth character (0 for any digit), a cheap first test. Together they
+# are the declared formats; the cast of the first five is Spark's fastest parser.
+_FIVE_DIGIT_YEAR = r"^0(?=\d{4}\.)"
+_SHORT_MONTH = (
+    r"^0?\d{4}\.[A-Z][a-z]{2}\.\d{2} (AD|BC) \d{2}:\d{2} (AM|PM)$",
+    _pattern("yyyy.MMM.dd G hh:mm a", False, _FIVE_DIGIT_YEAR),
+)
+_LONG_MONTH = (
+    r"^0?\d{4}\.[A-Z][a-z]{3,}\.\d{2} (AD|BC) \d{2}:\d{2} (AM|PM)$",
+    _pattern("yyyy.MMMM.dd G hh:mm a", False, _FIVE_DIGIT_YEAR),
+)
+SHAPES: dict[str, list[tuple[str, Callable[[Column], Column]]]] = {
+    "-": [
+        (rf"^\d{{4}}-\d{{2}}-\d{{2}}(T{_CLOCK}Z)?$", _local),
+        (rf"^\d{{4}}-\d{{2}}-\d{{2}}T{_CLOCK}\.\d{{3}}(Z|[+-]\d{{2}}:?\d{{2}})$", _zoned),
+    ],
+    "/": [
+        (rf"^\d{{4}}/\d{{2}}/\d{{2}}(T{_CLOCK}Z)?$", _local),
+        (rf"^\d{{4}}/\d{{2}}/\d{{2}}T{_CLOCK}\.\d{{3}}(Z|[+-]\d{{2}}:?\d{{2}})$", _zoned),
+    ],
+    "0": [
+        (r"^\d{8}$", _digits),
+        (rf"^\d{{12}}{_OFFSET}$", _pattern("yyMMddHHmmssZ", True)),
+        _SHORT_MONTH,
+        _LONG_MONTH,
+    ],
+    ".": [
+        (rf"^\d{{4}}\.\d{{2}}\.\d{{2}} (AD|BC) at {_CLOCK} \S+$", _pattern("yyyy.MM.dd G 'at' HH:mm:ss z", True)),
+        _SHORT_MONTH,
+        _LONG_MONTH,
+    ],
+    " ": [
+        (
+            rf"^{_WEEKDAY}, \d{{1,2}} [A-Z][a-z]{{2}} \d{{4}} {_CLOCK} {_OFFSET}$",
+            _pattern("d MMM yyyy HH:mm:ss Z", True, r"^[A-Za-z]+, "),
+        ),
+    ],
+}
+
+
 def parse_timestamp(text: Column, pivot_year: int | None = None) -> Column:
     """Timestamp of text in any accepted format, or null.
 
     Two-digit years fall in 2000-2099; ``pivot_year`` (say 2050) moves those after
     it into the century before.
     """
-    fifth = F.substring(text, 5, 1)
-    parsed = (
-        F.when(fifth == "-", _first_match(text, "-"))
-        .when(fifth == "/", _first_match(text, "/"))
-        .when(fifth == ".", _first_match(text, "."))
-        .when(fifth == " ", _first_match(text, " "))
-        .when(fifth.between("0", "9"), _first_match(text, "0"))
-    )
-    parsed = utc_wall_time(parsed)
+    # As the body of a lambda the branches stay out of the generated row loop. With
+    # several such columns that loop would outgrow what the JVM compiles.
+    parsed = F.transform(F.array(text), _parse)[0]
     if pivot_year is not None:
         two_digit = text.rlike(rf"^\d{{12}}{_OFFSET}$") & (F.year(parsed) > pivot_year)
         parsed = F.when(two_digit, parsed - F.expr("INTERVAL 100 YEAR")).otherwise(parsed)
     return parsed
 
 
-def _first_match(text: Column, fifth: str) -> Column:
-    """Parse by the shape the text has, among those with this fifth character."""
-    branch = F
-    for shape in SHAPES:
-        if fifth in shape.fifth:
-            value = F.regexp_replace(text, shape.strip, "") if shape.strip else text
-            branch = branch.when(text.rlike(shape.regex), parse_utc(value, shape.pattern, shape.has_zone))
-    return branch
+def _parse(text: Column) -> Column:
+    fifth = F.substring(text, 5, 1)
+    parsed = F
+    for character, shapes in SHAPES.items():
+        inner = F
+        for regex, read in shapes:
+            inner = inner.when(text.rlike(regex), read(text))
+        parsed = parsed.when(fifth.between("0", "9") if character == "0" else fifth == character, inner)
+    return parsed
 
 
 def or_sentinel(parsed: Column) -> Column:

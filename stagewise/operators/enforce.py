@@ -67,30 +67,22 @@ def with_verdict(df: DataFrame, spec) -> DataFrame:
 def enforce(df: DataFrame, spec, distinct: bool = True) -> tuple[DataFrame, DataFrame]:
     """Typed passing rows and raw failing rows of ``df``, duplicates removed first."""
     types = declared_types(spec)
-    checked = _cast_once(df.distinct() if distinct else df, types)
-    passed = checked.filter(~F.col("_found.failed")).select(
-        *[column(f"_typed_{name}").alias(name) for name in types]
-    )
-    failed = checked.filter(F.col("_found.failed")).select(
-        *columns(df.columns), F.col("_found.bad").alias(BAD_COLUMNS), F.lit(FAIL).alias(VERDICT)
-    )
-    return passed, failed
-
+    rows = df.distinct() if distinct else df
+    typed = {name: f"_typed_{name}" for name in types}
+    casts = {typed[name]: strict_cast(column(name), group) for name, group in types.items()}
+    bad = {name: is_bad(column(name), column(typed[name])) for name in types if types[name] != "string"}
 
-def _cast_once(rows: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Rows with their casts and bad columns, each cast evaluated a single time.
+    # A filter on the verdict would be pushed below the projection and repeat every cast
+    # there. It cannot be pushed below a generator, so the verdict is passed through one.
+    any_bad = reduce(lambda a, b: a | b, bad.values(), F.lit(False))
+    checked = rows.withColumns(casts).withColumn("_failed", F.explode(F.array(any_bad)))
 
-    A filter on the verdict would be pushed below the projection and repeat every cast
-    there. It cannot be pushed below a generator, so the verdict is made by one.
-    """
-    casts = {f"_typed_{name}": strict_cast(column(name), group) for name, group in types.items()}
-    bad = {
-        name: is_bad(column(name), column(f"_typed_{name}")) for name, group in types.items() if group != "string"
-    }
-    failed = reduce(lambda a, b: a | b, bad.values(), F.lit(False))
+    passed = checked.filter(~F.col("_failed")).select(*[column(typed[name]).alias(name) for name in types])
     names = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in bad.items()]))
-    found = F.struct(failed.alias("failed"), F.when(failed, names.cast("array<string>")).alias("bad"))
-    return rows.withColumns(casts).withColumn("_found", F.explode(F.array(found)))
+    failed = checked.filter("_failed").select(
+        *columns(df.columns), names.cast("array<string>").alias(BAD_COLUMNS), F.lit(FAIL).alias(VERDICT)
+    )
+    return passed, failed
 
 
 def cast_projection(spec, quote_all: bool = True) -> list[str]:
