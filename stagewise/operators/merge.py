@@ -65,7 +65,10 @@ def merge_metrics(
     ranked exactly second. The two newest rows per key are enough for all of them,
     given the number of Active rows.
     """
-    both = stage_active_union(stage, active)
+    # Which input ranks where is settled by these columns; the others are not read.
+    deciding = columns([*key_list(keys), effective_date, *tie_breakers])
+    active = active.select(*deciding)
+    both = stage_active_union(stage.select(*deciding), active)
     top = top_versions(both, keys, effective_date, tie_breakers, prefer=[SOURCE_FOLDER], depth=2)
     is_active = F.col(SOURCE_FOLDER) == ACTIVE
     zero = F.lit(0).cast("bigint")
@@ -109,69 +112,46 @@ def merge_into_current(
     Adds ``_action`` (INSERT, UPDATE or KEEP) and ``_rank2`` (the replaced row ranked
     exactly second). Stage is reduced to one row per key before it is shuffled, and
     the current side is joined on its plain key columns: a current table bucketed by
-    the keys is neither shuffled nor ranked. Rows with a null key part form groups of
-    their own; an equality join cannot match them, so they are merged beside it.
+    the keys is neither shuffled nor ranked. Null key parts are equal to each other
+    here; rows that have one are joined apart, as only null-safe equality matches them.
     """
     keys = key_list(keys)
-    names = list(dict.fromkeys([*current.columns, *stage.columns]))
     complete = reduce(lambda a, b: a & b, [column(key).isNotNull() for key in keys])
-    joined = _join_current(stage.filter(complete), current.filter(complete), keys, effective_date, tie_breakers, names)
-    null_keys = _rank_null_keys(stage.filter(~complete), current.filter(~complete), keys, effective_date, tie_breakers)
-    return joined.unionByName(null_keys)
+    parts = [
+        _join_current(stage.filter(rows), current.filter(rows), keys, effective_date, tie_breakers, null_safe)
+        for rows, null_safe in ((complete, False), (~complete, True))
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 def _join_current(
-    stage: DataFrame, current: DataFrame, keys: list[str], effective_date: str, tie_breakers: Sequence[str], names: list[str]
+    stage: DataFrame, current: DataFrame, keys: list[str], effective_date: str, tie_breakers: Sequence[str], null_safe: bool
 ) -> DataFrame:
     age = [effective_date, *tie_breakers]
-    order = newest_first(stage, keys, effective_date, tie_breakers)
-    window = Window.partitionBy(*columns(keys)).orderBy(*order)
+    window = Window.partitionBy(*columns(keys)).orderBy(*newest_first(stage, keys, effective_date, tie_breakers))
     newest = (
         top_versions(stage, keys, effective_date, tie_breakers, depth=2)
         .withColumn("_next_age", F.lead(F.struct(*columns(age))).over(window))
         .filter("RowN = 1")
-        .drop("RowN")
+        .withColumn("_in_stage", F.lit(True))
     )
-    on = reduce(lambda a, b: a & b, [column(key, "s") == column(key, "c") for key in keys])
-    pair = newest.alias("s").join(current.alias("c"), on, "full_outer")
+    known = current.withColumn("_in_current", F.lit(True))
+    equal = Column.eqNullSafe if null_safe else Column.__eq__
+    on = reduce(lambda a, b: a & b, [equal(column(key, "s"), column(key, "c")) for key in keys])
+    pair = newest.alias("s").join(known.alias("c"), on, "full_outer")
 
-    in_stage = column(keys[0], "s").isNotNull()
-    in_current = column(keys[0], "c").isNotNull()
+    in_stage, in_current = F.col("_in_stage").isNotNull(), F.col("_in_current").isNotNull()
     stage_age = F.struct(*columns(age, "s"))
     current_age = F.struct(*columns(age, "c"))
     wins = F.col("_wins")
     decided = pair.withColumn("_wins", in_stage & (~in_current | (stage_age >= current_age)))
 
     def pick(name: str) -> Column:
-        missing = F.lit(None)
-        new = column(name, "s") if name in stage.columns else missing
-        old = column(name, "c") if name in current.columns else missing
+        new = column(name, "s") if name in stage.columns else F.lit(None)
+        old = column(name, "c") if name in current.columns else F.lit(None)
         return F.when(wins, new).otherwise(old).alias(name)
 
+    names = list(dict.fromkeys([*current.columns, *stage.columns]))
     action = F.when(~wins, "KEEP").when(in_current, "UPDATE").otherwise("INSERT")
-    rank2 = wins & in_current & (F.col("s._next_age").isNull() | (F.col("s._next_age") < current_age))
+    rank2 = wins & in_current & (F.col("_next_age").isNull() | (F.col("_next_age") < current_age))
     return decided.select(*[pick(name) for name in names], action.alias("_action"), rank2.alias("_rank2"))
-
-
-def _rank_null_keys(
-    stage: DataFrame, current: DataFrame, keys: list[str], effective_date: str, tie_breakers: Sequence[str]
-) -> DataFrame:
-    """The same result, by ranking, for the rows whose key has a null part.
-
-    A replaced current row may rank below the two newest, so whether a key had one is
-    looked up in the current side's keys.
-    """
-    both = stage_active_union(stage, current)
-    prefer = [SOURCE_FOLDER]
-    top = top_versions(both, keys, effective_date, tie_breakers, prefer, depth=2)
-    window = Window.partitionBy(*columns(keys)).orderBy(*newest_first(both, keys, effective_date, tie_breakers, prefer))
-    winner = top.withColumn("_next", F.lead(SOURCE_FOLDER).over(window)).filter("RowN = 1")
-
-    known = current.select(*columns(keys)).distinct().withColumn("_known", F.lit(True))
-    same = reduce(lambda a, b: a & b, [column(key, "w").eqNullSafe(column(key, "k")) for key in keys])
-    flagged = winner.alias("w").join(known.alias("k"), same, "left")
-    from_stage = column(SOURCE_FOLDER, "w") == STAGE
-    action = F.when(~from_stage, "KEEP").when(F.col("k._known"), "UPDATE").otherwise("INSERT")
-    rank2 = from_stage & F.coalesce(F.col("w._next") == ACTIVE, F.lit(False))
-    names = [name for name in both.columns if name != SOURCE_FOLDER]
-    return flagged.select(*columns(names, "w"), action.alias("_action"), rank2.alias("_rank2"))
