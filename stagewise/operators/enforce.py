@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagewise.functions.casts import TYPE_GROUPS, is_bad, strict_cast, type_group
@@ -65,7 +65,38 @@ def with_verdict(df: DataFrame, spec) -> DataFrame:
 
 
 def enforce(df: DataFrame, spec, distinct: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Typed passing rows and raw failing rows of ``df``, duplicates removed first."""
+    """Typed passing rows and raw failing rows of ``df``, duplicates removed first.
+
+    Each of the two evaluates ``df``; to keep both, :func:`write_enforced` does so once.
+    """
+    checked, passing, failing = _checked(df, spec, distinct)
+    return checked.filter(~F.col("_failed")).select(*passing), checked.filter("_failed").select(*failing)
+
+
+def write_enforced(df: DataFrame, spec, path: str, distinct: bool = True) -> None:
+    """Check all rows in one job and write them to one folder, partitioned by verdict.
+
+    A row fills either its typed or its raw half; the empty half takes no space.
+    """
+    checked, passing, failing = _checked(df, spec, distinct)
+    halves = checked.select(
+        F.when(~F.col("_failed"), F.struct(*passing)).alias("passed"),
+        F.when(F.col("_failed"), F.struct(*failing)).alias("failed"),
+        F.when(F.col("_failed"), FAIL).otherwise(PASS).alias("verdict"),
+    )
+    halves.write.mode("errorifexists").partitionBy("verdict").parquet(path)
+
+
+def read_enforced(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Typed passing rows and raw failing rows written by :func:`write_enforced`."""
+    rows = spark.read.parquet(path)
+    return tuple(
+        rows.filter(F.col("verdict") == verdict).select(f"{half}.*") for half, verdict in (("passed", PASS), ("failed", FAIL))
+    )
+
+
+def _checked(df: DataFrame, spec, distinct: bool) -> tuple[DataFrame, list[Column], list[Column]]:
+    """Rows with casts and a ``_failed`` flag, and the columns of both outcomes."""
     types = declared_types(spec)
     rows = df.distinct() if distinct else df
     typed = {name: f"_typed_{name}" for name in types}
@@ -77,15 +108,13 @@ def enforce(df: DataFrame, spec, distinct: bool = True) -> tuple[DataFrame, Data
     any_bad = reduce(lambda a, b: a | b, bad.values(), F.lit(False))
     checked = rows.withColumns(casts).withColumn("_failed", F.explode(F.array(any_bad)))
 
-    passed = checked.filter(~F.col("_failed")).select(*[column(typed[name]).alias(name) for name in types])
+    passing = [column(typed[name]).alias(name) for name in types]
     names = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in bad.items()]))
-    failed = checked.filter("_failed").select(
-        *columns(df.columns), names.cast("array<string>").alias(BAD_COLUMNS), F.lit(FAIL).alias(VERDICT)
-    )
-    return passed, failed
+    failing = [*columns(df.columns), names.cast("array<string>").alias(BAD_COLUMNS), F.lit(FAIL).alias(VERDICT)]
+    return checked, passing, failing
 
 
-def cast_projection(spec, quote_all: bool = True) -> list[str]:
+def cast_projection(spec) -> list[str]:
     """SQL cast expressions for a schema table, in its order; unknown types mean string."""
     if isinstance(spec, DataFrame):
         spec = {name: kind for name, kind in spec.collect()}

@@ -12,15 +12,17 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stagewise.functions.names import column, key_list
+from stagewise.functions.timestamps import wall_time
 from stagewise.operators.merge import is_full_reload, merge_into_current
 from stagewise.operators.ranking import latest_per_key
 from stagewise.operators.upsert import AUDIT_COLUMN, INSERT, UPDATE, upsert
-from stagewise.plans.config import TABLES_AT_ONCE
-from stagewise.plans.log import log_records
+from stagewise.operators.watermarks import newest_at_source
+from stagewise.plans.config import TABLES_AT_ONCE, lookup, update_watermarks
+from stagewise.plans.log import append_log, log_records, upsert_log_records
 from stagewise.sources.current import CurrentTable, ddl_of, publish_table, publish_view
 from stagewise.sources.files import Folder
 
@@ -71,6 +73,13 @@ def now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
 
 
+def require_fields(fields: dict) -> None:
+    """Refuse a configuration with missing values before anything runs."""
+    missing = [name for name, value in fields.items() if not value]
+    if missing:
+        raise ValueError("NULL in config: " + ",".join(missing))
+
+
 def merge_stage(
     spark: SparkSession, load: TableLoad, stage: DataFrame, outcome: Outcome, facts: dict | None = None
 ) -> None:
@@ -123,6 +132,7 @@ def load_table(spark: SparkSession, load: TableLoad) -> Outcome:
     try:
         folder = Folder(spark, load.stage_path)
         arrived = folder.children()
+        require_fields({"KeyColumns": load.keys, "SourceEffectiveDateColumn": load.effective_date})
         if arrived:
             stage = spark.read.parquet(*arrived)
             for name, step in (
@@ -186,6 +196,60 @@ def upsert_table(spark: SparkSession, config: TableUpsert, batch_time: datetime
     return outcome
 
 
+# Config columns a keyed upsert cannot do without.
+UPSERT_FIELDS = (
+    "DestinationTable", "DestinationName", "MergeColumns", "KeyColumns", "SourceQuery",
+    "SourceEffectiveDateColumn", "DestinationEffectiveDateColumn",
+)
+
+
+def run_upsert(
+    spark: SparkSession, config: CurrentTable, source_name: str, base_path: str,
+    pipeline: dict[str, str], log_path: str, batch_time: datetime | None = None,
+) -> Outcome:
+    """The whole keyed upsert of one configured source.
+
+    Looks up the source's config row, upserts its query into the destination, then
+    writes both watermarks back to the config and appends a log record. Watermarks are
+    written only after the new destination version is in place; a run that stops before
+    that can be repeated.
+    """
+    rows = config.read()
+    row = lookup(rows, source_name).first()
+    require_fields({name: row[name] for name in UPSERT_FIELDS})
+    upsert_config = TableUpsert(
+        etl_config_key=source_name,
+        source=row.SourceQuery,
+        current_path=f"{base_path}/{row.DestinationTable}",
+        keys=row.KeyColumns,
+        values=key_list(row.MergeColumns),
+        effective_date=row.DestinationEffectiveDateColumn,
+    )
+    outcome = upsert_table(spark, upsert_config, batch_time)
+    if outcome.succeeded:
+        at_source = spark.table(source_name).agg(newest_at_source(row.SourceEffectiveDateColumn))
+        marks = at_source.select(
+            F.lit(source_name).alias("SourceName"),
+            "SourceMaxEffectiveDate",
+            _moment(outcome.max_effective_date).alias("DestinationMaxEffectiveDate"),
+        )
+        config.replace(update_watermarks(rows, marks, "SourceName", batch_time or now()))
+        outcome.steps.append("watermarks")
+    logged = outcome_rows(spark, [outcome]).withColumns(
+        {
+            "ProcessUserKey": F.lit(row.ProcessUserKey).cast("int"),
+            "SourceName": F.lit(source_name),
+            "DestinationName": F.lit(row.DestinationName),
+        }
+    )
+    append_log(upsert_log_records(logged, pipeline), log_path)
+    return outcome
+
+
+def _moment(value: datetime | None) -> Column:
+    return F.lit(None).cast("timestamp_ntz") if value is None else wall_time(value)
+
+
 def run_all(
     spark: SparkSession, loads: Sequence[TableLoad], at_once: int = TABLES_AT_ONCE,
     run: Callable[[SparkSession, TableLoad], Outcome] = load_table,
@@ -208,7 +272,7 @@ def outcome_rows(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame:
 def log_outcomes(spark: SparkSession, outcomes: Sequence[Outcome], path: str) -> DataFrame:
     """Append the outcomes to the process log; returns the appended rows."""
     records = log_records(outcome_rows(spark, outcomes), now())
-    records.write.mode("append").parquet(path)
+    append_log(records, path)
     return records
 
 

@@ -129,6 +129,16 @@ def test_enforce_plan_has_one_shuffle_and_no_python(spark):
         assert df._jdf.queryExecution().executedPlan().toString().count("try_to_timestamp(") <= 2 * 2 * 15
 
 
+def test_both_outcomes_from_one_write(spark, tmp_path):
+    raw = spark.createDataFrame(ROWS, RAW)
+    want_passed, want_failed = en.enforce(raw, SPEC)
+    en.write_enforced(raw, SPEC, f"{tmp_path}/checked")
+    passed, failed = en.read_enforced(spark, f"{tmp_path}/checked")
+    assert (passed.dtypes, failed.dtypes) == (want_passed.dtypes, want_failed.dtypes)
+    assert as_multiset(passed) == as_multiset(want_passed)
+    assert as_multiset(failed) == as_multiset(want_failed)
+
+
 def test_specs(spark):
     by_name = {"t": "TimestampType", "s": "Anything", "i": "Integer"}
     assert en.declared_types(by_name) == {"s": "string", "i": "int", "t": "timestamp"}

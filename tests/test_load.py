@@ -160,8 +160,8 @@ def test_several_tables_and_one_failure(spark, base):
     parameters = json.dumps(
         [
             {"EtlConfigKey": str(n), "SourceSchema": "s", "SourceTable": f"t{n}", "SourceEffectiveDateColumn": "at",
-             "SourceMaxEffectiveDate": "2024-01-01", "KeyColumns": "[k]" if n else "[missing]"}
-            for n in range(3)
+             "SourceMaxEffectiveDate": "2024-01-01", "KeyColumns": ["[missing]", "[k]", "[k]", None][n]}
+            for n in range(4)
         ]
     )
     config = parameter_rows(spark.createDataFrame([(parameters,)], "p string"), "p")
@@ -169,14 +169,17 @@ def test_several_tables_and_one_failure(spark, base):
     for load in loads:
         put(spark, load.stage_path, [(1, day(0), "a"), (2, day(1), "b")])
     outcomes = ld.run_all(spark, loads)
-    assert [o.succeeded for o in outcomes] == [False, True, True]
+    assert [o.succeeded for o in outcomes] == [False, True, True, False]
+    assert outcomes[3].error_message == "ValueError: NULL in config: KeyColumns"
 
     ld.log_outcomes(spark, outcomes, f"{base}/log")
     log = read_log(spark, f"{base}/log")
-    assert as_multiset(log, ["EtlConfigKey", "RowsInserted"]) == [("0", 0), ("1", 2), ("2", 2)]
+    assert as_multiset(log, ["EtlConfigKey", "RowsInserted"]) == [
+        ("0", 0), ("1", 2), ("2", 2), ("3", 0)
+    ]
     text = as_json_array(log.select("EtlConfigKey", "RowsInserted", "ErrorMessage"), "EtlConfigKey").first()[0]
     parsed = json.loads(text)
-    assert [row["EtlConfigKey"] for row in parsed] == ["0", "1", "2"]
+    assert [row["EtlConfigKey"] for row in parsed] == ["0", "1", "2", "3"]
     assert "missing" in parsed[0]["ErrorMessage"] and parsed[1]["ErrorMessage"] is None
 
 
@@ -197,6 +200,44 @@ def test_upsert_table(spark, base):
     assert (again.rows_inserted, again.rows_updated) == (0, 0)
 
 
+def test_run_upsert(spark, base):
+    spark.createDataFrame(
+        [(2, "c", "Feb  3 2024 1:05PM"), (3, "d", "2024-02-01T10:00:30+00:00")], "id int, name string, changed string"
+    ).createOrReplaceTempView("staged_people")
+    query = "SELECT id AS k, name AS v, timestamp_ntz'2024-02-03 13:05:00' AS at FROM staged_people"
+    config_schema = (
+        "SourceName string, DestinationTable string, DestinationName string, MergeColumns string, KeyColumns string, "
+        "SourceQuery string, SourceEffectiveDateColumn string, DestinationEffectiveDateColumn string, "
+        "ProcessUserKey int, SourceMaxEffectiveDate timestamp_ntz, DestinationMaxEffectiveDate timestamp_ntz, "
+        "ModifiedOn timestamp_ntz"
+    )
+    rows = [
+        (name, "people", "dbo.people", "v,at", "k", text, "changed", "at", 5, day(0), day(0), day(0))
+        for name, text in (("staged_people", query), ("staged_nothing", None))
+    ]
+    config = CurrentTable(spark, f"{base}/config", "SourceName")
+    config.replace(spark.createDataFrame(rows, config_schema))
+    people = CurrentTable(spark, f"{base}/people", "k")
+    target = "k int, v string, at timestamp_ntz, ModifiedOn timestamp_ntz"
+    people.replace(spark.createDataFrame([(1, "a", day(0), None), (2, "b", day(0), None)], target))
+
+    batch = datetime(2024, 3, 1)
+    outcome = ld.run_upsert(spark, config, "staged_people", base, {"PipelineName": "p"}, f"{base}/log", batch)
+    assert (outcome.error_message, outcome.steps) == (None, ["merge", "watermarks"])
+    assert as_multiset(people.read(), ["k", "v", "ModifiedOn"]) == [(1, "a", None), (2, "c", batch), (3, "d", None)]
+    marks = as_multiset(
+        config.read(), ["SourceName", "SourceMaxEffectiveDate", "DestinationMaxEffectiveDate", "ModifiedOn"]
+    )
+    newest = datetime(2024, 2, 3, 13, 5)
+    assert marks == [("staged_nothing", day(0), day(0), day(0)), ("staged_people", newest, newest, batch)]
+    logged = read_log(spark, f"{base}/log").first()
+    assert (logged.RowsInserted, logged.RowsUpdated, logged.DestinationName) == (1, 1, "dbo.people")
+    with pytest.raises(ValueError, match="NULL in config: SourceQuery"):
+        ld.run_upsert(spark, config, "staged_nothing", base, {}, f"{base}/log")
+    with pytest.raises(Exception, match="0 config rows for unknown"):
+        ld.run_upsert(spark, config, "unknown", base, {}, f"{base}/log")
+
+
 def test_overwriting_a_published_table(spark):
     publish_table(spark.range(3).toDF("k"), "pub_plain")
     publish_table(spark.range(2).toDF("k"), "pub_plain")
