@@ -121,8 +121,10 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame |
     counts = df.groupBy(*columns(keys)).agg(F.count("*").alias("_versions"))
     largest = counts.filter(F.col("_versions") > hot_rows).orderBy(F.desc("_versions")).limit(MAX_HOT_KEYS)
     found = largest.select(*columns(keys))
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    rows = found.toArrow()
+    # From Arrow, Spark keeps the rows as a local relation of known size. While that is
+    # below its broadcast threshold the joins on it leave the big side in place.
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows.num_rows else None
 
 
 def _rank_by_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank_column: str) -> DataFrame:
@@ -157,15 +159,12 @@ def _rank_by_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     placed = local.alias("d").join(offsets.alias("h"), same).select(
         *columns(df.columns, "d"), F.col("d._copies"), (F.col("h._offset") + F.col("d._before")).alias("_start")
     )
-    # A folded row expands into one rank per copy; a huge group of copies expands in
-    # chunks that are spread over the tasks first.
-    few = placed.filter(F.col("_copies") <= COPY_CHUNK).withColumn("_chunk", F.lit(0).cast("bigint"))
-    chunk_count = F.ceil(F.col("_copies") / F.lit(COPY_CHUNK))
-    many = (
-        placed.filter(F.col("_copies") > COPY_CHUNK)
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), chunk_count - 1)))
-        .repartition(parts, "_start", "_chunk")
-    )
+    # A folded row expands into one rank per copy. A huge group of copies expands in
+    # chunks, which are spread over the tasks first.
+    last_chunk = F.ceil(F.col("_copies") / F.lit(COPY_CHUNK)) - 1
+    chunks = placed.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
     first = F.col("_start") + F.col("_chunk") * COPY_CHUNK + 1
     last = F.col("_start") + F.least((F.col("_chunk") + 1) * COPY_CHUNK, F.col("_copies"))
-    return few.unionByName(many).select(*data, F.explode(F.sequence(first, last)).alias(rank_column))
+    return chunks.repartition(parts, "_start", "_chunk").select(
+        *data, F.explode(F.sequence(first, last)).alias(rank_column)
+    )

@@ -80,6 +80,13 @@ def test_hot_key_is_spread_over_ranges(spark):
     assert max(row["count"] for row in per_task) < 4000
 
 
+def test_hot_keys_are_a_local_relation_of_known_size(spark):
+    rows = random_rows(9, 60)
+    hot = ranking._hot_keys(spark.createDataFrame(rows, SCHEMA), KEYS, 3)
+    assert 0 < hot.count() < len({r[:2] for r in rows})
+    assert "LocalTableScan" in hot._jdf.queryExecution().executedPlan().toString()
+
+
 def test_latest_per_key_limits_groups_before_the_shuffle(spark):
     df = spark.createDataFrame(random_rows(1, 30), SCHEMA)
     plan = latest_per_key(df, KEYS, "at", ["seq"])._jdf.queryExecution().executedPlan().toString()
