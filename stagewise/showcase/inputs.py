@@ -162,11 +162,8 @@ verdicts AS (
 """
 
 
-def written_date(key: Column, date: Column) -> Column:
-    """An order date as text in the format its key selects; some are bad or missing."""
-    wall = F.timestamp_add("SECOND", (key % 86400).cast("int"), date)
-    exact = F.timestamp_add("MILLISECOND", (key % 1000).cast("int"), wall)
-    number = F.when((key % 16 == 6) & (date < ntz("2000-01-01 00:00:00")), 0).otherwise(key % 16)
+def written_date(form: Column, date: Column, wall: Column, exact: Column) -> Column:
+    """A date, its time of day and its milliseconds as text in a numbered format."""
 
     def text(value: Column, pattern: str, suffix: str = "") -> Column:
         return F.concat(F.date_format(value, pattern), F.lit(suffix))
@@ -188,16 +185,25 @@ def written_date(key: Column, date: Column) -> Column:
         13: F.lit("not a date"),
         14: F.lit(""),
     }
-    branch = F.when(number == 0, written[0])
-    for n, value in list(written.items())[1:]:
-        branch = branch.when(number == n, value)
+    branch = F
+    for number, value in written.items():
+        branch = branch.when(form == number, value)
     return branch
 
 
 def text_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as raw text, some of it wrong for its declared type."""
-    key = F.col("o_orderkey")
-    return table(spark, folder, "orders").select(
+    key, date = F.col("o_orderkey"), F.col("o_orderdate")
+    wall = F.timestamp_add("SECOND", (key % 86400).cast("int"), date)
+    two_digit_too_early = (key % 16 == 6) & (date < ntz("2000-01-01 00:00:00"))
+    orders = table(spark, folder, "orders").withColumns(
+        {
+            "form": F.when(two_digit_too_early, 0).otherwise(key % 16),
+            "wall": wall,
+            "exact": F.timestamp_add("MILLISECOND", (key % 1000).cast("int"), wall),
+        }
+    )
+    return orders.select(
         "o_orderkey",
         F.col("o_orderstatus").alias("s_status"),
         F.when(key % 10 == 0, "abc")
@@ -211,7 +217,7 @@ def text_orders(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
         .alias("s_price"),
         F.concat((key % 100).cast("string"), F.lit(".5")).alias("s_float"),
-        written_date(key, F.col("o_orderdate")).alias("s_date"),
+        written_date(F.col("form"), date, F.col("wall"), F.col("exact")).alias("s_date"),
     )
 
 
