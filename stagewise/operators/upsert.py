@@ -117,6 +117,9 @@ def upsert(
     if values is None:
         values = [name for name in source.columns if name not in keys]
     values = [name for name in values if name != audit_column]
+    unknown = [name for name in [*keys, *values] if name not in target.columns]
+    if unknown:
+        raise ValueError("not in the target: " + ", ".join(unknown))
     stamp = _batch_stamp(batch_time)
 
     incoming = source.select(*columns(keys), *columns(values))

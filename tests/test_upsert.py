@@ -99,3 +99,9 @@ def test_parts(tables):
 def test_audit_column_in_the_value_list_is_ignored(tables):
     got = up.upsert(*tables, ["k", "g"], values=["v", "w", "ModifiedOn"], batch_time=BATCH)
     assert as_multiset(got, NAMES) == sorted(WANT, key=repr)
+
+
+def test_unknown_columns_are_refused(tables):
+    target, source = tables
+    with pytest.raises(ValueError, match="not in the target: extra"):
+        up.upsert(target, source.withColumn("extra", source.k), ["k", "g"])
