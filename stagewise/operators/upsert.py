@@ -80,11 +80,19 @@ def changes(
 
 
 def inserts(target: DataFrame, source: DataFrame, keys: str | Iterable[str], values: Sequence[str]) -> DataFrame:
-    """Source rows whose key the target lacks: value columns, keys last."""
+    """Source rows whose key the target lacks: value columns, keys last.
+
+    Rows with a null key part match nothing; they pass beside the join, where they would
+    all meet in one task.
+    """
     keys = key_list(keys)
+    missing = _missing(target, source.filter(keys_complete(keys)), keys)
+    return missing.unionByName(null_key_rows(source, keys)).select(*columns(values), *columns(keys))
+
+
+def _missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     known = target.select(*columns(keys)).distinct()
-    missing = source.alias("s").join(known.alias("t"), keys_equal(keys), "left_anti")
-    return missing.select(*columns(values), *columns(keys))
+    return source.alias("s").join(known.alias("t"), keys_equal(keys), "left_anti")
 
 
 def updates(target: DataFrame, source: DataFrame, keys: str | Iterable[str], values: Sequence[str]) -> DataFrame:
@@ -141,13 +149,11 @@ def upsert(
     else:
         pair = current.alias("t").join(matchable.alias("s"), keys_equal(keys), "left")
         result = pair.withColumn("_action", action).select(*cells, "_action")
-        result = result.unionByName(_as_inserted(inserts(current, matchable, keys, values), target))
+        result = result.unionByName(_as_inserted(_missing(current, matchable, keys), target))
 
-    result = result.unionByName(
-        target.filter(~keys_complete(keys)).withColumn("_action", F.lit(TARGET_ONLY))
-    )
+    result = result.unionByName(null_key_rows(target, keys).withColumn("_action", F.lit(TARGET_ONLY)))
     if insert_null_keys:
-        result = result.unionByName(_as_inserted(incoming.filter(~keys_complete(keys)), target))
+        result = result.unionByName(_as_inserted(null_key_rows(incoming, keys), target))
     return result
 
 
@@ -167,9 +173,9 @@ def _merged_cell(
     return value.alias(name)
 
 
-def null_key_rows(source: DataFrame, keys: str | Iterable[str]) -> DataFrame:
-    """Source rows a key equality can never match, for quarantine."""
-    return source.filter(~keys_complete(key_list(keys)))
+def null_key_rows(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
+    """Rows a key equality can never match, for quarantine."""
+    return df.filter(~keys_complete(key_list(keys)))
 
 
 def action_counts(merged: DataFrame) -> DataFrame:
