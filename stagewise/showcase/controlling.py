@@ -32,7 +32,8 @@ def null_tokens(spark, folder):
 
 def stripped_offsets(spark, folder):
     wall = F.timestamp_add("SECOND", (F.col("o_orderkey") % 86400).cast("int"), F.col("o_orderdate"))
-    text = F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:30"))
+    part = inputs.clock_parts(wall)
+    text = F.concat(part["date"], F.lit("T"), part["time"], F.lit("+05:30"))
     return table(spark, folder, "orders").select("o_orderkey", strip_offset(text).alias("created_on"))
 
 

@@ -162,26 +162,39 @@ verdicts AS (
 """
 
 
-def written_date(form: Column, date: Column, wall: Column, exact: Column) -> Column:
-    """A date, its time of day and its milliseconds as text in a numbered format."""
+def clock_parts(wall: Column) -> dict[str, Column]:
+    """Date, time and 12-hour clock of a wall time as text, free of the session zone."""
+    text, hour = wall.cast("string"), F.hour(wall)
+    return {
+        "date": F.left(text, F.lit(10)),
+        "time": F.substring(text, 12, 8),
+        "hour12": ((hour + 11) % 12 + 1).cast("string"),
+        "minute": F.substring(text, 15, 2),
+        "half": F.when(hour < 12, "AM").otherwise("PM"),
+    }
 
-    def text(value: Column, pattern: str, suffix: str = "") -> Column:
-        return F.concat(F.date_format(value, pattern), F.lit(suffix))
 
+def written_date(form: Column, day: Column, wall: Column, millis: Column) -> Column:
+    """A day, its time and its milliseconds as text in a numbered format."""
+    part = clock_parts(wall)
+    date, time = part["date"], part["time"]
+    slashed, digits = F.translate(date, "-", "/"), F.translate(date, "-", "")
+    exact = F.concat(F.lit("T"), time, F.lit("."), F.lpad(millis.cast("string"), 3, "0"))
+    twelve = F.concat(F.lpad(part["hour12"], 2, "0"), F.lit(":"), part["minute"], F.lit(" "), part["half"])
     written = {
-        0: text(date, "yyyy-MM-dd"),
-        1: text(date, "yyyyMMdd"),
-        2: text(date, "yyyy/MM/dd"),
-        3: text(wall, "yyyy-MM-dd'T'HH:mm:ss", "Z"),
-        4: text(exact, "yyyy-MM-dd'T'HH:mm:ss.SSS", "+05:30"),
-        5: text(exact, "yyyy-MM-dd'T'HH:mm:ss.SSS", "-0800"),
-        6: text(wall, "yyMMddHHmmss", "+0100"),
-        7: text(wall, "EEE, d MMM yyyy HH:mm:ss", " -0700"),
-        8: F.concat(F.lit("0"), text(wall, "yyyy.MMMM.dd"), F.lit(" AD "), text(wall, "hh:mm a")),
-        9: F.concat(text(wall, "yyyy.MM.dd"), F.lit(" AD at "), text(wall, "HH:mm:ss", " UTC")),
-        10: text(wall, "yyyy/MM/dd'T'HH:mm:ss", "Z"),
-        11: text(exact, "yyyy/MM/dd'T'HH:mm:ss.SSS", "+05:30"),
-        12: text(exact, "yyyy/MM/dd'T'HH:mm:ss.SSS", "-0800"),
+        0: date,
+        1: digits,
+        2: slashed,
+        3: F.concat(date, F.lit("T"), time, F.lit("Z")),
+        4: F.concat(date, exact, F.lit("+05:30")),
+        5: F.concat(date, exact, F.lit("-0800")),
+        6: F.concat(F.substring(digits, 3, 6), F.translate(time, ":", ""), F.lit("+0100")),
+        7: F.concat(F.date_format(day, "EEE, d MMM yyyy "), time, F.lit(" -0700")),
+        8: F.concat(F.lit("0"), F.date_format(day, "yyyy.MMMM.dd"), F.lit(" AD "), twelve),
+        9: F.concat(F.translate(date, "-", "."), F.lit(" AD at "), time, F.lit(" UTC")),
+        10: F.concat(slashed, F.lit("T"), time, F.lit("Z")),
+        11: F.concat(slashed, exact, F.lit("+05:30")),
+        12: F.concat(slashed, exact, F.lit("-0800")),
         13: F.lit("not a date"),
         14: F.lit(""),
     }
@@ -194,13 +207,11 @@ def written_date(form: Column, date: Column, wall: Column, exact: Column) -> Col
 def text_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as raw text, some of it wrong for its declared type."""
     key, date = F.col("o_orderkey"), F.col("o_orderdate")
-    wall = F.timestamp_add("SECOND", (key % 86400).cast("int"), date)
     two_digit_too_early = (key % 16 == 6) & (date < ntz("2000-01-01 00:00:00"))
     orders = table(spark, folder, "orders").withColumns(
         {
             "form": F.when(two_digit_too_early, 0).otherwise(key % 16),
-            "wall": wall,
-            "exact": F.timestamp_add("MILLISECOND", (key % 1000).cast("int"), wall),
+            "wall": F.timestamp_add("SECOND", (key % 86400).cast("int"), date),
         }
     )
     return orders.select(
@@ -217,7 +228,7 @@ def text_orders(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
         .alias("s_price"),
         F.concat((key % 100).cast("string"), F.lit(".5")).alias("s_float"),
-        written_date(F.col("form"), date, F.col("wall"), F.col("exact")).alias("s_date"),
+        written_date(F.col("form"), date, F.col("wall"), key % 1000).alias("s_date"),
     )
 
 
@@ -233,10 +244,14 @@ def orders_with_date_text(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with their date as padded AM/PM text or as ISO text."""
     key = F.col("o_orderkey")
     wall = F.timestamp_add("SECOND", (key % 86400).cast("int"), F.col("o_orderdate"))
+    part = clock_parts(wall)
     am_pm = F.concat(
-        F.date_format(wall, "MMM "), F.lpad(F.date_format(wall, "d"), 2, " "), F.date_format(wall, " yyyy h:mma")
+        F.date_format("o_orderdate", "MMM "),
+        F.lpad(F.dayofmonth("o_orderdate").cast("string"), 2, " "),
+        F.date_format("o_orderdate", " yyyy "),
+        part["hour12"], F.lit(":"), part["minute"], part["half"],
     )
-    iso = F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss")
+    iso = F.concat(part["date"], F.lit("T"), part["time"])
     return table(spark, folder, "orders").withColumn("date_text", F.when(key % 2 == 0, am_pm).otherwise(iso))
 
 
