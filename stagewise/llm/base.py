@@ -14,6 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows and bytes of one Arrow batch; a single longer text still travels whole.
 BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
@@ -84,8 +85,13 @@ def doc_id_of(did) -> F.Column:
     return F.when(F.col(did) != F.lit(-(2**63)), F.col(did))
 
 
+def with_fields(df: DataFrame, ddl: str) -> StructType:
+    """The columns of ``df`` and then those of ``ddl``."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]],
-                schema: str) -> DataFrame:
+                schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with one state per task: ``make()`` gives the function for its batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()

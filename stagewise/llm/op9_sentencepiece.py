@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewise.llm.base import kept_in_process, map_batches, small_batches
+from stagewise.llm.base import kept_in_process, map_batches, small_batches, with_fields
 
 #: Words whose ids a task remembers, and characters indexed by one suffix array.
 MEMORY, INDEXED = 600_000, 250_000
@@ -250,7 +250,7 @@ def encode_texts(df: DataFrame, path: str | None = None, text: str = "text") ->
     small_batches(df.sparkSession)
     model = _model(path)
     df = df.drop("ids", "round_trip")
-    schema = df.schema.add("ids", "array<int>").add("round_trip", "boolean")
+    schema = with_fields(df, "ids array<int>, round_trip boolean")
 
     def start():
         pieces, known = kept_in_process(model, lambda: (Pieces(model), {}))
@@ -282,7 +282,7 @@ def decode_ids(df: DataFrame, path: str | None = None, ids: str = "ids") -> Data
             texts = [None if x is None else pieces.decode(np.array(x, np.int32)) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
         return work
-    return map_batches(df, start, df.schema.add("decoded", "string"))
+    return map_batches(df, start, with_fields(df, "decoded string"))
 
 
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
