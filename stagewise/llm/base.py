@@ -109,21 +109,35 @@ def kept_in_process(key: object, make: Callable[[], object]) -> object:
     return state[key]
 
 
-class WordHashes(dict):
-    """64-bit hash of a word, remembered per task within ``WORD_MEMORY`` words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_MEMORY:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    @classmethod
-    def here(cls) -> "WordHashes":
-        return kept_in_process("words", cls)
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+def sorted_tiles(df: DataFrame, keys: list[str], one: Callable[[pa.Table], tuple], schema: str) -> DataFrame:
+    """Apply ``one`` to the rows of each key (two or more), of bounded number, and gather its
+    columns. Tasks hold one tile at a time, without a call to Spark for each."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches):
+        held = None
+        for batch in _then_none(batches):
+            if batch is not None:
+                table = pa.Table.from_batches([batch])
+                held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+            if held is None or not held.num_rows:
+                continue
+            columns = [held.column(c).to_numpy() for c in keys]
+            change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+            bounds = [0, *change.tolist(), held.num_rows]
+            done = bounds[:-1] if batch is not None else bounds
+            found = [one(held.slice(a, b - a)) for a, b in zip(done, done[1:]) if b - a > 1]
+            found = [f for f in found if len(f[0])]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=names)
+            held = held.slice(done[-1])
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def _then_none(items: Iterable) -> Iterator:
+    yield from items
+    yield None
 
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -164,3 +178,47 @@ class Rolling:
 def signed(x: np.ndarray) -> pa.Array:
     """64-bit hashes as a long column."""
     return pa.array(np.ascontiguousarray(x).view(np.int64))
+
+
+#: Bytes that part words, and a random 64-bit value for each byte.
+_BLANK = np.zeros(256, bool)
+_BLANK[[32, 9, 10, 11, 12, 13]] = True
+_LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
+_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+#: Bytes hashed at a time (a longer text is hashed by itself), and of a word hashed alone.
+BLOCK_BYTES, LONG_WORD = 1 << 20, 256
+
+
+class Words:
+    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of many texts at once."""
+
+    def __init__(self, lower: bool = False) -> None:
+        self.lower, self.rolling = lower, Rolling(0xD1342543DE82EF95)
+
+    def blocks(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """``(first, bounds, hashes)`` of runs of texts: text first + i has the word hashes
+        ``hashes[bounds[i]:bounds[i + 1]]``. ``texts`` is binary without nulls."""
+        ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + BLOCK_BYTES, "right")) - 1)
+            yield (first, *self._hashed(data[ends[first]:ends[last]], ends[first:last + 1] - ends[first]))
+            first = last
+
+    def _hashed(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.lower:
+            data = _LOWER[data]
+        word = np.zeros(len(data) + 2, bool)
+        np.logical_not(_BLANK[data], out=word[1:-1])
+        # Words begin after blanks and at the beginnings of texts, and end likewise.
+        begin = word[1:-1] & ~word[:-2]
+        end = word[1:-1] & ~word[2:]
+        inner = edges[(edges > 0) & (edges < len(data))]
+        begin[inner] = word[inner + 1]
+        end[inner - 1] = word[inner]
+        begin, end = np.flatnonzero(begin), np.flatnonzero(end) + 1
+        hashes = self.rolling.spans(self.rolling.prefix(_BYTE[data]), begin, end)
+        for i in np.flatnonzero(end - begin > LONG_WORD):
+            hashes[i] = xxhash.xxh3_64_intdigest(data[begin[i]:end[i]].tobytes())
+        return np.searchsorted(begin, edges), hashes

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagewise.llm.base import (
-    Rolling, WordHashes, doc_id_of, identified, map_batches, saved, signed, small_batches, split_join,
+    Rolling, Words, doc_id_of, identified, map_batches, saved, signed, small_batches, split_join,
 )
 
 #: Words of a window, and of the grams whose least hash is its anchor. A phrase has at
@@ -45,23 +45,23 @@ def phrase_runs(grams: np.ndarray, window: int, gram: int) -> tuple[np.ndarray,
 def phrases(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """The phrases of every ``identified`` document of at least ``window`` words."""
     def start():
-        hashes, rolling = WordHashes.here(), Rolling()
+        words, rolling = Words(), Rolling()
 
         def work(batch: pa.RecordBatch):
             rows, firsts, counts, anchors, bodies = [], [], [], [], []
-            for i, text in enumerate(batch.column("text")):
-                words = text.as_py().split()
-                if len(words) < window:
-                    continue
-                prefix = rolling.prefix(hashes.of(words))
-                at = np.arange(len(words) - gram + 1)
-                grams = rolling.spans(prefix, at, at + gram)
-                first, last, place = phrase_runs(grams, window, gram)
-                rows.append(np.full(len(first), i))
-                firsts.append(first)
-                counts.append(last - first + 1)
-                anchors.append(grams[place])
-                bodies.append(rolling.spans(prefix, first, last + window) + (place - first).astype(np.uint64))
+            for begin, bounds, hashes in words.blocks(batch.column("text")):
+                prefix = rolling.prefix(hashes)
+                at = np.arange(max(0, len(hashes) - gram + 1))
+                every = rolling.spans(prefix, at, at + gram)
+                for i in np.flatnonzero(np.diff(bounds) >= window).tolist():
+                    a, b = int(bounds[i]), int(bounds[i + 1])
+                    grams = every[a:b - gram + 1]
+                    first, last, place = phrase_runs(grams, window, gram)
+                    rows.append(np.full(len(first), begin + i))
+                    firsts.append(first)
+                    counts.append(last - first + 1)
+                    anchors.append(grams[place])
+                    bodies.append(rolling.spans(prefix, a + first, a + last + window) + (place - first).astype(np.uint64))
             if rows:
                 row = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays(
@@ -76,7 +76,7 @@ def phrases(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 def phrase_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Hashes of the windows of the listed phrases; ``docs`` has ``text`` and ``listed``."""
     def start():
-        hashes, rolling = WordHashes.here(), Rolling()
+        words, rolling = Words(), Rolling()
 
         def work(batch: pa.RecordBatch):
             out = [[], [], [], []]
@@ -85,11 +85,13 @@ def phrase_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             bounds = bounds - bounds[0]
             first, count = (flat.field(k).to_numpy().astype(np.int64) for k in ("start", "n_windows"))
             anchor, phrase = (flat.field(k).to_numpy() for k in ("anchor", "phrase"))
-            for text, a, b in zip(batch.column("text"), bounds, bounds[1:]):
-                prefix = rolling.prefix(hashes.of(text.as_py().split()))
+            for row, places, hashes in words.blocks(batch.column("text")):
+                prefix = rolling.prefix(hashes)
+                a, b = bounds[row], bounds[row + len(places) - 1]
                 which = np.repeat(np.arange(a, b), count[a:b])
                 at = np.arange(len(which)) - np.repeat(np.cumsum(count[a:b]) - count[a:b], count[a:b])
-                begin = first[which] + at
+                offset = np.repeat(places[:-1], np.diff(bounds[row:row + len(places)]))
+                begin = first[which] + at + offset[which - a]
                 for column, values in zip(out, (anchor[which], phrase[which], at, rolling.spans(prefix, begin, begin + window))):
                     column.append(values)
             anchor, phrase, at, hashed = (np.concatenate(x) for x in out)

@@ -17,6 +17,7 @@ components is lost, and pairs within one need no test.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,24 +26,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagewise.llm.base import (
-    Rolling, WordHashes, doc_id_of, identified, map_batches, mixed, saved, signed, small_batches, split_join,
+    Rolling, Words, doc_id_of, identified, map_batches, mixed, saved, signed, small_batches, sorted_tiles, split_join,
 )
 from stagewise.llm.components import components
 
 #: Members of an undecided group that one block compares: those outside its main component, and all.
 FEW, MANY = 256, 2048
+#: One document in so many shows which keys are hot; the tasks over which a hot key is spread.
+SAMPLED, HOT_PARTS = 64, 64
 _PAIRS = "a long, b long"
 
 
-def shingle_set(text: bytes, k: int, hashes: WordHashes, rolling: Rolling) -> np.ndarray:
-    """Sorted distinct hashes of the text's k-word shingles (A-Z lower-cased); a shorter
+class Shingles:
+    """Sorted distinct hashes of the k-word shingles of texts (A-Z lower-cased); a shorter
     text is one shingle, one without words has none."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    prefix = rolling.prefix(hashes.of(words))
-    start = np.arange(max(1, len(words) - k + 1))
-    return np.unique(rolling.spans(prefix, start, np.minimum(start + k, len(words))))
+
+    def __init__(self, k: int) -> None:
+        self.k, self.words, self.rolling = k, Words(lower=True), Rolling()
+
+    def of(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        for _, bounds, hashes in self.words.blocks(texts):
+            prefix = self.rolling.prefix(hashes)
+            at = np.arange(max(0, len(hashes) - self.k + 1))
+            every = self.rolling.spans(prefix, at, at + self.k)
+            for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+                if b - a >= self.k:
+                    yield np.unique(every[a:b - self.k + 1])
+                else:
+                    yield self.rolling.spans(prefix, np.array([a]), np.array([b])) if b > a else np.zeros(0, np.uint64)
 
 
 def class_of(items: np.ndarray) -> int:
@@ -128,74 +139,83 @@ def _words(bits: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), -1)
 
 
-def _key_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``key, node`` of every set; a task gives each set once however often it meets it."""
+def _hot_keys(docs: DataFrame, k: int, percent: int) -> np.ndarray:
+    """Keys that many sets of a sample have: more than a tenth of a task's mean rows. They
+    are ten for each task at most, and serve to spread rows over tasks, nothing else."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sample = _key_rows(docs.where(f"pmod(th, {SAMPLED}) = 0"), k, percent).groupBy("key").agg(F.count("*").alias("n"))
+    keys = sample.groupBy().agg(F.sum("n")).first()[0] or 0
+    often = sample.where(F.col("n") >= max(8, keys / (10 * parts)))
+    return np.sort(often.select("key").toArrow().column("key").to_numpy())
+
+
+def _key_rows(docs: DataFrame, k: int, percent: int, hot: np.ndarray = np.zeros(0, np.int64)) -> DataFrame:
+    """``key, node, part`` of every set; a task gives each set once however often it meets
+    it. Part is 0 but for hot keys, whose sets are dealt into ``HOT_PARTS``."""
     def start():
-        hashes, rolling, bands, seen = WordHashes.here(), Rolling(), Bands(percent), set()
+        shingles, bands, seen = Shingles(k), Bands(percent), set()
 
         def work(batch: pa.RecordBatch):
             keys, nodes = [], []
-            for text in batch.column("text"):
-                items = shingle_set(text.as_py(), k, hashes, rolling)
+            for items in shingles.of(batch.column("text")):
                 node = class_of(items)
                 if len(items) and node not in seen:
                     seen.add(node)
                     keys.append(tile_keys(items, bands))
                     nodes.append(np.full(len(keys[-1]), node, np.uint64))
             if keys:
-                yield pa.RecordBatch.from_arrays([signed(np.concatenate(keys)), signed(np.concatenate(nodes))], names=["key", "node"])
+                keys, nodes = np.concatenate(keys).view(np.int64), np.concatenate(nodes)
+                parts = np.zeros(len(keys), np.int32)
+                if len(hot):
+                    often = hot[np.minimum(np.searchsorted(hot, keys), len(hot) - 1)] == keys
+                    parts[often] = (mixed(nodes[often]) % np.uint64(HOT_PARTS)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), signed(nodes), pa.array(parts)], names=["key", "node", "part"])
         return work
-    return map_batches(docs, start, "key long, node long")
+    return map_batches(docs, start, "key long, node long, part int")
 
 
 def _meetings(keys: DataFrame) -> DataFrame:
     """``key, node, hub`` of the keys that several sets have; hub is the first met.
 
-    Rows are ranged by key and node, so that a key of very many sets is spread over
-    tasks, each with a hub of its own. Tasks stream over their sorted rows.
+    A hot key is spread over tasks, where it has a hub in each. Tasks stream over their
+    sorted rows.
     """
     def run(batches):
-        kept = None  # rows held back until it is known whether their key goes on
-        hub, at_edge = None, True
+        key, node, part, hub = (np.zeros(0, np.int64) for _ in range(4))  # rows of a key that may go on
         for batch in batches:
-            key, node = (batch.column(c).to_numpy() for c in ("key", "node"))
-            if kept is not None:
-                key, node = np.concatenate([kept[0], key]), np.concatenate([kept[1], node])
-            if not len(key):
-                continue
-            new = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
-            key, node = key[new], node[new]
+            new = [batch.column(c).to_numpy() for c in ("key", "node", "part")]
+            key, node, part = (np.concatenate([x, y]) for x, y in zip((key, node, part), new))
+            fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
+            key, node, part = key[fresh], node[fresh], part[fresh]
             first = np.concatenate([[True], key[1:] != key[:-1]])
-            # The last row waits for the next batch; its run's hub is remembered.
             starts = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
             hubs = node[starts]
-            if hub is not None and kept is not None:
-                hubs[starts == 0] = hub
-            several = ~first | np.concatenate([~first[1:], [False]])
-            if at_edge:
-                several |= starts == 0
-            if hub is not None and kept is not None and kept[2]:
-                several[starts == 0] = True
+            if len(hub) and key[0] == hub[0]:
+                hubs[starts == 0] = hub[1]
+            # The last row waits for the next batch. A hot key's rows count even where it is alone in a task.
+            several = ~first | np.concatenate([~first[1:], [False]]) | (part > 0) | (hubs != node)
             out = several[:-1]
             if out.any():
                 yield pa.RecordBatch.from_arrays([pa.array(x[:-1][out]) for x in (key, node, hubs)], names=["key", "node", "hub"])
-            at_edge = at_edge and starts[-1] == 0
-            hub = hubs[-1]
-            kept = key[-1:], node[-1:], bool(several[-1])
-        if kept is not None:  # the last key may go on in the next task
-            yield pa.RecordBatch.from_arrays([pa.array(kept[0]), pa.array(kept[1]), pa.array(np.array([hub]))], names=["key", "node", "hub"])
+            if len(key) > 1 and key[-2] == key[-1] or hubs[-1] != node[-1]:
+                hub = np.array([key[-1], hubs[-1]])
+            else:
+                hub = np.array([key[-1], node[-1]])
+            key, node, part = key[-1:], node[-1:], part[-1:]
+        if len(key):
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node), pa.array(hub[1:])], names=["key", "node", "hub"])
     n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = keys.repartitionByRange(n, "key", "node").sortWithinPartitions("key", "node")
-    return ranged.mapInArrow(run, "key long, node long, hub long")
+    dealt = keys.repartition(n, "key", "part").sortWithinPartitions("key", "node")
+    return dealt.mapInArrow(run, "key long, node long, hub long")
 
 
 def _signatures(docs: DataFrame, k: int) -> DataFrame:
     """``node, n, bits, items`` of the given documents' sets."""
     def start():
-        hashes, rolling = WordHashes.here(), Rolling()
+        shingles = Shingles(k)
 
         def work(batch: pa.RecordBatch):
-            sets = [shingle_set(t.as_py(), k, hashes, rolling) for t in batch.column("text")]
+            sets = list(shingles.of(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([bitmap(s) for s in sets], pa.binary()),
                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "n", "bits", "items"])
@@ -246,10 +266,10 @@ def _undecided(met: DataFrame, roots: DataFrame, sets: DataFrame, percent: int)
     """Pairs of a key's members in different components that bit counts allow to link."""
     members = split_join(met.select("key", "node"), roots, ["node"], "left").select(
         "key", "node", F.coalesce("root", "node").alias("root"))
-    parts = members.groupBy("key", "root").agg(F.count("*").alias("n"))
+    parts = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(node))").alias("members"))
     groups = parts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"),
-                                      F.sum("n").alias("all"), F.count("*").alias("parts")).where("parts > 1 and all > 2")
-    groups = groups.select("key", "main", F.ceil((F.col("all") - F.col("most")) / FEW).cast("int").alias("rows"),
+                                      F.sum("n").alias("all"), F.count("*").alias("parts"), F.expr("bit_xor(members)").alias("members")).where("parts > 1 and all > 2")
+    groups = groups.dropDuplicates(["members", "all"]).select("key", "main", F.ceil((F.col("all") - F.col("most")) / FEW).cast("int").alias("rows"),
                            F.ceil(F.col("all") / MANY).cast("int").alias("columns"))
     open_ = split_join(members, groups, ["key"])
     slot = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), F.col(n)).cast("int")
@@ -259,27 +279,28 @@ def _undecided(met: DataFrame, roots: DataFrame, sets: DataFrame, percent: int)
                         F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), slot("columns").alias("j"))
     blocks = split_join(few.union(many), sets.select("node", "n", "bits"), ["node"])
 
-    def compare(table: pa.Table) -> pa.Table:
+    def compare(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         few, node, root, n = (table.column(c).to_numpy() for c in ("few", "node", "root", "n"))
         bits = table.column("bits").to_pylist()
         words = np.array([len(x) for x in bits])
-        found = [], []
+        found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for wa in np.unique(words):
             for wb in (wa // 2, wa, wa * 2):
                 rows, columns = np.flatnonzero(few & (words == wa)), np.flatnonzero(~few & (words == wb))
                 if not len(rows) or not len(columns):
                     continue
                 a, b = (_folded(_words([bits[i] for i in at]), min(wa, wb) // 8) for at in (rows, columns))
-                step = max(1, (1 << 22) // (len(columns) * a.shape[1]))
+                step = max(1, (1 << 20) // (len(columns) * a.shape[1]))
                 for s in range(0, len(rows), step):
                     part = rows[s:s + step]
                     ok = may_link(a[s:s + step, None], n[part][:, None], b[None], n[columns][None], percent)
                     x, y = np.nonzero(ok & (root[part][:, None] != root[columns][None]))
                     found[0].append(node[part[x]])
                     found[1].append(node[columns[y]])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-    return blocks.select("key", "i", "j", "few", "node", "root", "n", "bits").groupBy("key", "i", "j").applyInArrow(compare, _PAIRS).distinct()
+        return np.concatenate(found[0]), np.concatenate(found[1])
+
+    return sorted_tiles(blocks.select("key", "i", "j", "few", "node", "root", "n", "bits"), ["key", "i", "j"], compare, _PAIRS).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) -> DataFrame:
@@ -294,17 +315,17 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
     docs = identified(docs)
 
     def start():
-        hashes, rolling = WordHashes.here(), Rolling()
+        shingles = Shingles(shingle)
 
         def work(batch: pa.RecordBatch):
-            sets = [shingle_set(t.as_py(), shingle, hashes, rolling) for t in batch.column("text")]
+            sets = list(shingles.of(batch.column("text")))
             nodes = np.array([class_of(s) for s in sets], np.uint64).view(np.int64)
             sizes = np.array([len(s) for s in sets], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("did"), batch.column("th"), pa.array(sizes), pa.array(nodes, mask=sizes == 0)],
                                              names=["did", "th", "n_shingles", "node"])
         return work
     rows = saved(map_batches(docs, start, "did long, th long, n_shingles long, node long"), "jaccard-sets")
-    met = saved(_meetings(_key_rows(docs, shingle, percent)), "jaccard-meetings")
+    met = saved(_meetings(_key_rows(docs, shingle, percent, _hot_keys(docs, shingle, percent))), "jaccard-meetings")
     by_node = met.where("node <> hub")
     pairs = (by_node.groupBy("node").agg(F.min("hub").alias("lo"), F.max("hub").alias("hi"))
              .select("node", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("hub"))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewise.llm.base import mixed, saved, small_batches, split_join
+from stagewise.llm.base import mixed, saved, small_batches, sorted_tiles, split_join
 from stagewise.llm.components import components
 
 #: Tables, E8 blocks of a cell, lattice scale, neighbouring cells entered per table.
@@ -151,36 +151,15 @@ def lattice_links(vectors: DataFrame, vector: str = "embedding", number: str = "
     full = split_join(tiles, classes.select("node", "copies", "unit", "keys"), ["node"])
     width = tables * (1 + probes)
 
-    def linked(batches):
-        held = None
-
-        def one(tile: pa.Table):
-            node, copies, s = (tile.column(c).to_numpy() for c in ("node", "copies", "s"))
-            unit = np.frombuffer(b"".join(tile.column("unit").to_pylist())).reshape(len(node), -1)
-            keys = np.frombuffer(b"".join(tile.column("keys").to_pylist()), np.uint64).reshape(len(node), width)
-            cell, i, j = (tile.column(c)[0].as_py() for c in ("cell", "i", "j"))
-            n_links, root = _compare(node, unit, keys, copies, cell % (1 << 64), s if i != j else None, least, tables)
-            some = (n_links > 0) | (root != np.arange(len(node)))
-            return node[some], n_links[some], node[root[some]]
-
-        def results(table: pa.Table, last: bool):
-            key = [table.column(c).to_numpy() for c in ("cell", "i", "j")]
-            change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1 if table.num_rows else np.zeros(0, int)
-            bounds = [0, *change.tolist(), table.num_rows]
-            done = bounds if last else bounds[:-1]
-            found = [one(table.slice(a, b - a)) for a, b in zip(done, done[1:]) if b - a > 1]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["node", "n", "root"])
-            return table.slice(bounds[-2]) if not last else None
-
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = yield from results(table if held is None else pa.concat_tables([held, table]).combine_chunks(), False)
-        if held is not None:
-            yield from results(held, True)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = full.repartition(parts, "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-    found = saved(dealt.mapInArrow(linked, "node long, n long, root long"), "lattice-links")
+    def linked(tile: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        node, copies, s = (tile.column(c).to_numpy() for c in ("node", "copies", "s"))
+        unit = np.frombuffer(b"".join(tile.column("unit").to_pylist())).reshape(len(node), -1)
+        keys = np.frombuffer(b"".join(tile.column("keys").to_pylist()), np.uint64).reshape(len(node), width)
+        cell, i, j = (tile.column(c)[0].as_py() for c in ("cell", "i", "j"))
+        n_links, root = _compare(node, unit, keys, copies, cell % (1 << 64), s if i != j else None, least, tables)
+        some = (n_links > 0) | (root != np.arange(len(node)))
+        return node[some], n_links[some], node[root[some]]
+    found = saved(sorted_tiles(full, ["cell", "i", "j"], linked, "node long, n long, root long"), "lattice-links")
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "lattice-components")
     about = (classes.select("node", "copies", "least").join(counts, "node", "left").join(roots, "node", "left")

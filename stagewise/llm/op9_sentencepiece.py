@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from stagewise.llm.base import kept_in_process, map_batches, small_batches, with_fields
 
 #: Words whose ids a task remembers, and characters indexed by one suffix array.
-MEMORY, INDEXED = 600_000, 250_000
+MEMORY, INDEXED = 800_000, 250_000
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
@@ -127,18 +127,37 @@ class Pieces:
     def edges(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end and id of every piece's occurrence in ``text``."""
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        padded = np.concatenate([points, np.zeros(self.longest, np.uint32)])
+        present = np.unique(points[points > 0])
+        if len(present) < 254:  # one byte per character
+            points, sought, beyond, lengths, codes = self._narrowed(points, present)
+        else:
+            sought, beyond, lengths, codes = self.sought, self.beyond, self.lengths, self.sought_ids
+        padded = np.concatenate([points, np.zeros(self.longest, points.dtype)])
         tails = np.lib.stride_tricks.sliding_window_view(padded, self.longest)[:len(points)]
-        tails = np.ascontiguousarray(tails).view(f"U{self.longest}").ravel()
+        tails = np.ascontiguousarray(tails).view(f"{'S' if points.itemsize == 1 else 'U'}{self.longest}").ravel()
         suffixes = np.argsort(tails, kind="stable")
         tails = tails[suffixes]
-        low, high = np.searchsorted(tails, self.sought), np.searchsorted(tails, self.beyond)
+        low, high = np.searchsorted(tails, sought), np.searchsorted(tails, beyond)
         count = high - low
         which = np.repeat(np.arange(len(low)), count)
         nth = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
         start = suffixes[low[which] + nth]
-        end = start + self.lengths[which]
-        return start, end, self.sought_ids[which]
+        end = start + lengths[which]
+        return start, end, codes[which]
+
+    def _narrowed(self, points: np.ndarray, present: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The text and the pieces that it may hold with its characters numbered from 1."""
+        table = self.sought.view(np.uint32).reshape(len(self.sought), -1)
+        at = np.minimum(np.searchsorted(present, table), len(present) - 1)
+        known = (present[at] == table) | (table == 0)
+        some = np.flatnonzero(known.all(axis=1))
+        narrow = np.where(table[some] == 0, 0, at[some] + 1).astype(np.uint8)
+        lengths = self.lengths[some]
+        beyond = narrow.copy()
+        beyond[np.arange(len(some)), lengths - 1] += 1
+        text = np.where(points == 0, 0, np.searchsorted(present, points) + 1).astype(np.uint8)
+        kind = f"S{self.longest}"
+        return text, np.ascontiguousarray(narrow).view(kind).ravel(), np.ascontiguousarray(beyond).view(kind).ravel(), lengths, self.sought_ids[some]
 
     def encode_parts(self, parts: list[str]) -> list[bytes]:
         """The ids of each part, as the bytes of an int32 array."""
@@ -215,8 +234,11 @@ class Pieces:
         Texts with single spaces are looked up word by word, others as one word each.
         """
         known = {} if known is None else known
-        if len(known) > MEMORY:
+        if len(known) > MEMORY:  # the short ones are those that come again
+            short = {word: ids for word, ids in known.items() if len(word) <= 7}
             known.clear()
+            if len(short) < MEMORY // 2:
+                known.update(short)
         cut = [[] if not text else text.split(" ") if self.by_words and "  " not in text and SPACE not in text
                and text[0] != " " and text[-1] != " " else [text] for text in texts]
         new = list(set().union(*cut).difference(known))
