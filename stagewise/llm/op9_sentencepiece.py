@@ -27,6 +27,8 @@ from stagewise.llm.base import kept_in_process, map_batches, small_batches, with
 
 #: Words whose ids a task remembers, and characters indexed by one suffix array.
 MEMORY, INDEXED = 800_000, 250_000
+#: Slots of the table of pairs that may follow each other, as a power of two.
+SLOT_BITS = 21
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
@@ -97,7 +99,8 @@ class Pieces:
         self.part = re.compile("(?s).+" if inner else f"{words}{SPACE}*[^{SPACE}\\n]+|{SPACE}+|\\n")
         self.by_words = self.prefix and not inner
         self.follows: dict[int, bool] = {}
-        self.pairs, self.allowed = np.array([-1]), np.array([False])
+        self.pairs, self.allowed = np.full(1 << SLOT_BITS, -1), np.zeros(1 << SLOT_BITS, bool)
+        self.known_parts: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """The merge rules applied as such: best score first, leftmost of equals."""
@@ -173,18 +176,19 @@ class Pieces:
         return out
 
     def _may_follow(self, keys: np.ndarray) -> np.ndarray:
-        """``may_follow`` for many pairs; only pairs not met before are worked out."""
-        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-        new = np.unique(keys[self.pairs[at] != keys])
-        if len(new):
-            if len(self.pairs) > 2_000_000:
-                self.pairs, self.allowed = self.pairs[:1], self.allowed[:1]
-            allowed = np.array([self.may_follow((k >> 20) - 1, k & 0xFFFFF) for k in new.tolist()])
-            pairs, allowed = np.concatenate([self.pairs, new]), np.concatenate([self.allowed, allowed])
-            order = np.argsort(pairs, kind="stable")
-            self.pairs, self.allowed = pairs[order], allowed[order]
-            return self._may_follow(keys)
-        return self.allowed[at]
+        """``may_follow`` for many pairs, by a table with one slot for several pairs; only
+        pairs that their slot doesn't hold are looked up or worked out one by one."""
+        slots = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        allowed, missing = self.allowed[slots], np.flatnonzero(self.pairs[slots] != keys)
+        if len(missing):
+            new, at = np.unique(keys[missing], return_inverse=True)
+            found = np.array([self.may_follow((k >> 20) - 1, k & 0xFFFFF) for k in new.tolist()])
+            allowed[missing] = found[at]
+            self.pairs[slots[missing]] = keys[missing]
+            # Of pairs with one slot any may be held: the flag is written from the pair that is.
+            held = np.searchsorted(new, self.pairs[slots[missing]])
+            self.allowed[slots[missing]] = found[held]
+        return allowed
 
     def _relaxed(self, parts: list[str]) -> list[bytes]:
         """Relax the edges of all parts together, in order of their ends within the parts."""
@@ -244,12 +248,17 @@ class Pieces:
         new = list(set().union(*cut).difference(known))
         first = SPACE if self.prefix else ""
         parts = [self.parts_of(first + word.replace(" ", SPACE)) for word in new]
-        distinct = list(set().union(*parts))
-        coded = dict(zip(distinct, self.encode_parts(distinct)))
+        coded = self.known_parts
+        if len(coded) > MEMORY // 2:
+            coded.clear()
+        distinct = list(set().union(*parts).difference(coded))
+        coded.update(zip(distinct, self.encode_parts(distinct)))
         known.update((word, b"".join([coded[p] for p in own])) for word, own in zip(new, parts))
         out = [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in cut]
         for word in [w for w in new if len(w) > 100]:
             del known[word]
+        for part in [p for p in distinct if len(p) > 100]:
+            del coded[part]
         return out
 
     def decode(self, ids: np.ndarray) -> str:
