@@ -9,7 +9,7 @@ from stagewise.llm.base import saved, split_join
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
-    """``node, root`` for every node with a link: the least node that it reaches.
+    """``node, root`` for every node that reaches a lesser one: the least that it reaches.
 
     ``edges`` has longs ``a`` and ``b``; loops, repeats and nulls are ignored. Each
     round hangs the neighbours of a node below the least of them; rounds end when no
