@@ -115,13 +115,16 @@ def _checked(df: DataFrame, spec, distinct: bool) -> tuple[DataFrame, list[Colum
 
 
 def cast_projection(spec) -> list[str]:
-    """SQL cast expressions for a schema table, in its order; unknown types mean string."""
+    """SQL cast expressions for a schema table, in its order; unknown types mean string.
+
+    Timestamps stay text, as no SQL cast takes their formats; ``enforce`` parses them.
+    """
     if isinstance(spec, DataFrame):
         spec = {name: kind for name, kind in spec.collect()}
     expressions = []
     for name, kind in spec.items():
         quoted = "`" + name.replace("`", "``") + "`"
         group = type_group(kind)
-        target = "timestamp_ntz" if group == "timestamp" else group
+        target = "string" if group == "timestamp" else group
         expressions.append(f"try_cast({quoted} as {target}) as {quoted}")
     return expressions

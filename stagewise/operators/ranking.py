@@ -19,13 +19,6 @@ from stagewise.session import ensure_checkpoint_dir
 # A key with more rows than this is ranked by several tasks.
 HOT_ROWS = 20_000_000
 
-# Largest number of hot keys handled apart. Keys beyond it are smaller than
-# all-rows / MAX_HOT_KEYS and are ranked exactly by the plain window.
-MAX_HOT_KEYS = 10_000
-
-# Rows one copy count expands into within a single task.
-COPY_CHUNK = 1_000_000
-
 
 def sortable(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.ArrayType):
@@ -92,8 +85,9 @@ def rank_versions(
 
     A window sorts each key in one task. Keys holding more than ``hot_rows`` rows are
     ranked apart, over ranges of their own versions, so that no task receives a whole
-    hot key; the ranks are the same. Counting the keys is one aggregation over the key
-    columns, run when this function is called.
+    hot key; rows and ranks are the same, up to the order of rows that tie in all sort
+    columns. Counting the keys is one aggregation over the key columns, run when this
+    function is called; hot keys, at most all rows / ``hot_rows``, stay on the executors.
     """
     keys = key_list(keys)
     order = newest_first(df, keys, effective_date, tie_breakers, prefer)
@@ -117,54 +111,39 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
 
 
 def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, at most ``MAX_HOT_KEYS`` largest, as a local table."""
+    """Keys with more than ``hot_rows`` rows; None if there is none."""
+    ensure_checkpoint_dir(df.sparkSession)
     counts = df.groupBy(*columns(keys)).agg(F.count("*").alias("_versions"))
-    largest = counts.filter(F.col("_versions") > hot_rows).orderBy(F.desc("_versions")).limit(MAX_HOT_KEYS)
-    found = largest.select(*columns(keys))
-    rows = found.toArrow()
-    # From Arrow, Spark keeps the rows as a local relation of known size. While that is
-    # below its broadcast threshold the joins on it leave the big side in place.
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows.num_rows else None
+    hot = counts.filter(F.col("_versions") > hot_rows).select(*columns(keys)).checkpoint()
+    return None if hot.isEmpty() else hot
 
 
 def _rank_by_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank_column: str) -> DataFrame:
     """Rank rows whose keys are too large for one task.
 
-    Copies are first folded into a count, which leaves distinct rows that a range
-    partitioning on (keys, order) can split anywhere. Each range is ranked alone; a
-    key's ranks continue over its ranges by adding the sizes of the ranges before.
-    The range number is pinned by a checkpoint, as both sides of the join need it.
+    Rows are ranged by keys and order, and by a row number where they tie, so that a
+    range can end anywhere, also between copies. Each range is ranked alone; a key's
+    ranks continue over its ranges by adding the sizes of the ranges before. Row and
+    range numbers are pinned by a checkpoint, as both sides of the join need them.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    data = columns(df.columns)
-    folded = df.groupBy(*data).agg(F.count("*").alias("_copies"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
-        folded.repartitionByRange(parts, *columns(keys), *order)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *columns(keys), *order, "_tie")
         .withColumn("_range", F.spark_partition_id())
         .checkpoint()
     )
 
-    sizes = ranged.groupBy(*columns(keys), "_range").agg(F.sum("_copies").alias("_size"))
+    sizes = ranged.groupBy(*columns(keys), "_range").agg(F.count("*").alias("_size"))
     before = Window.partitionBy(*columns(keys)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         *columns(keys), "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
-    within = Window.partitionBy(*columns(keys), "_range").orderBy(*order)
-    local = ranged.withColumn(
-        "_before", F.sum("_copies").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_copies")
-    )
+    within = Window.partitionBy(*columns(keys), "_range").orderBy(*order, "_tie")
+    local = ranged.withColumn("_at", F.row_number().over(within))
     same = _null_safe(local, offsets, keys) & (F.col("d._range") == F.col("h._range"))
-    placed = local.alias("d").join(offsets.alias("h"), same).select(
-        *columns(df.columns, "d"), F.col("d._copies"), (F.col("h._offset") + F.col("d._before")).alias("_start")
-    )
-    # A folded row expands into one rank per copy. A huge group of copies expands in
-    # chunks, which are spread over the tasks first.
-    last_chunk = F.ceil(F.col("_copies") / F.lit(COPY_CHUNK)) - 1
-    chunks = placed.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
-    first = F.col("_start") + F.col("_chunk") * COPY_CHUNK + 1
-    last = F.col("_start") + F.least((F.col("_chunk") + 1) * COPY_CHUNK, F.col("_copies"))
-    return chunks.repartition(parts, "_start", "_chunk").select(
-        *data, F.explode(F.sequence(first, last)).alias(rank_column)
+    return local.alias("d").join(offsets.alias("h"), same).select(
+        *columns(df.columns, "d"), (F.col("h._offset") + F.col("d._at")).cast("bigint").alias(rank_column)
     )

@@ -37,8 +37,8 @@ def rejoin_on_hash(left: DataFrame, right: DataFrame, hash_column: str = "Hash")
 
 
 def split_to_rows(df: DataFrame, text: str, separator: str = ",", keep: Sequence[str] = ()) -> DataFrame:
-    """One row per part of a separated text, with its position from 0."""
-    pattern = "[" + separator + "]" if separator in ".|*+?$()," else separator
+    """One row per part of a text, with its position from 0; ``separator`` is taken literally."""
+    pattern = r"\Q" + separator.replace(r"\E", r"\E\\E\Q") + r"\E"
     return df.select(*columns(keep), F.posexplode(F.split(column(text), pattern)).alias("position", "part"))
 
 

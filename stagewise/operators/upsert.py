@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagewise.functions.names import column, columns, key_list
-from stagewise.functions.timestamps import wall_time
+from stagewise.functions.timestamps import utc_wall_time, wall_time
 
 # Row actions. The first two are what a merge reports.
 INSERT = "INSERT"
@@ -130,7 +130,9 @@ def upsert(
         raise ValueError("not in the target: " + ", ".join(unknown))
     stamp = _batch_stamp(batch_time)
 
-    incoming = source.select(*columns(keys), *columns(values))
+    types = {field.name: field.dataType for field in target.schema.fields}
+    sent = {field.name: field.dataType for field in source.schema.fields}
+    incoming = source.select(*[_fitted(name, sent[name], types[name]) for name in [*keys, *values]])
     matchable = require_unique_keys(incoming.filter(keys_complete(keys)), keys)
     current = target.filter(keys_complete(keys))
 
@@ -157,6 +159,15 @@ def upsert(
     return result
 
 
+def _fitted(name: str, sent: T.DataType, wanted: T.DataType) -> Column:
+    """A source column in the target's type; a value that does not fit fails the query."""
+    if sent == wanted:
+        return column(name)
+    value = column(name).try_cast(wanted)
+    misfit = column(name).isNotNull() & value.isNull()
+    return F.when(misfit, F.raise_error(F.lit(f"a value of {name} does not fit the target"))).otherwise(value).alias(name)
+
+
 def _merged_cell(
     field: T.StructField, keys: Sequence[str], values: Sequence[str], audit_column: str, stamp: Column
 ) -> Column:
@@ -202,5 +213,5 @@ def _as_inserted(rows: DataFrame, target: DataFrame) -> DataFrame:
 
 def _batch_stamp(batch_time: datetime | Column | None) -> Column:
     if batch_time is None:
-        return F.localtimestamp()
+        return utc_wall_time(F.current_timestamp())
     return batch_time if isinstance(batch_time, Column) else wall_time(batch_time)

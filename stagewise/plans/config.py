@@ -29,8 +29,14 @@ TABLES_AT_ONCE = 5
 
 
 def parameter_rows(df: DataFrame, json_column: str) -> DataFrame:
-    """One row per struct of a JSON array text, under the declared schema."""
-    return df.select(F.inline(F.from_json(column(json_column), PARAMETER_SCHEMA)))
+    """One row per struct of a JSON array text, under the declared schema.
+
+    A null or blank text has no rows; any other that is no such array fails the query.
+    """
+    text = column(json_column)
+    parsed = F.from_json(text, PARAMETER_SCHEMA)
+    broken = parsed.isNull() & (F.trim(text) != "")
+    return df.select(F.inline(F.when(broken, F.raise_error(F.concat(F.lit("malformed parameter list: "), text))).otherwise(parsed)))
 
 
 def run_parameters(config: DataFrame, path: str | Column = "load_table", timeout: int = RUN_TIMEOUT) -> DataFrame:
@@ -80,7 +86,7 @@ def update_watermarks(
     """Config with new watermarks and change time where a source reported one.
 
     ``watermarks`` holds one row per source: ``key`` and any of the two watermark
-    columns. A source without rows keeps its old values.
+    columns. A source without rows, or with a null watermark, keeps its old value.
     """
     stamp = batch_time if isinstance(batch_time, Column) else wall_time(batch_time)
     pair = config.alias("c").join(watermarks.alias("w"), column(key, "c") == column(key, "w"), "left")
@@ -89,7 +95,7 @@ def update_watermarks(
     for name in config.columns:
         old = column(name, "c")
         if name != key and name in watermarks.columns:
-            old = F.when(reported, column(name, "w")).otherwise(old)
+            old = F.when(reported & column(name, "w").isNotNull(), column(name, "w")).otherwise(old)
         elif name == "ModifiedOn":
             old = F.when(reported, stamp).otherwise(old)
         cells.append(old.alias(name))

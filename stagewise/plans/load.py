@@ -89,7 +89,9 @@ def merge_stage(
     """
     table = CurrentTable(spark, load.current_path, load.keys, load.buckets)
     keys = key_list(load.keys)
-    current = None if is_full_reload(load.source_watermark) else table.read()
+    before, latest = table.last_number(), table.latest()
+    reload = is_full_reload(load.source_watermark)
+    current = None if reload or latest is None else table.read_version(latest)
     if current is None:
         merged = latest_per_key(stage, keys, load.effective_date, load.tie_breakers)
         merged = merged.withColumns({"_action": F.lit(INSERT), "_rank2": F.lit(False)})
@@ -105,11 +107,10 @@ def merge_stage(
         F.count_if("_rank2").alias("updated_rank2"),
         F.max(column(load.effective_date)).alias("max_effective_date"),
     ).drop("_action", "_rank2")
-    latest = table.latest()
     placed = current is not None and load.buckets is not None and latest.buckets == load.buckets
     path = table.write_version(rows, placed)
     counts = counted.get
-    table.switch_to(path, ddl_of(rows), {**(facts or {}), **counts})
+    table.switch_to(path, ddl_of(rows), {**(facts or {}), **counts}, before)
     outcome.rows_inserted = counts["inserted"]
     outcome.rows_updated = counts["updated"]
     outcome.rows_updated_rank2 = counts["updated_rank2"]
@@ -134,7 +135,7 @@ def load_table(spark: SparkSession, load: TableLoad) -> Outcome:
         arrived = folder.children()
         require_fields({"KeyColumns": load.keys, "SourceEffectiveDateColumn": load.effective_date})
         if arrived:
-            stage = spark.read.parquet(*arrived)
+            stage = spark.read.option("basePath", load.stage_path).option("mergeSchema", "true").parquet(*arrived)
             for name, step in (
                 ("merge", lambda: merge_stage(spark, load, stage, outcome)),
                 ("publish", lambda: publish_current(spark, load)),
@@ -169,7 +170,7 @@ def upsert_table(spark: SparkSession, config: TableUpsert, batch_time: datetime
     try:
         table = CurrentTable(spark, config.current_path, config.keys, config.buckets)
         source = spark.sql(config.source) if isinstance(config.source, str) else config.source
-        target = table.read()
+        before, target = table.last_number(), table.read()
         if target is None:
             raise ValueError(f"no current table at {config.current_path}")
         merged = upsert(
@@ -186,7 +187,7 @@ def upsert_table(spark: SparkSession, config: TableUpsert, batch_time: datetime
         ).drop("_action")
         path = table.write_version(rows)
         counts = counted.get
-        table.switch_to(path, ddl_of(rows), counts)
+        table.switch_to(path, ddl_of(rows), counts, before)
         outcome.rows_inserted, outcome.rows_updated = counts["inserted"], counts["updated"]
         outcome.max_effective_date = counts["max_effective_date"]
         outcome.steps.append("merge")
@@ -196,6 +197,9 @@ def upsert_table(spark: SparkSession, config: TableUpsert, batch_time: datetime
     return outcome
 
 
+# How often watermarks are tried again when other sources write theirs.
+CONFIG_ATTEMPTS = 10
+
 # Config columns a keyed upsert cannot do without.
 UPSERT_FIELDS = (
     "DestinationTable", "DestinationName", "MergeColumns", "KeyColumns", "SourceQuery",
@@ -233,7 +237,15 @@ def run_upsert(
             "SourceMaxEffectiveDate",
             _moment(outcome.max_effective_date).alias("DestinationMaxEffectiveDate"),
         )
-        config.replace(update_watermarks(rows, marks, "SourceName", batch_time or now()))
+        # Another source may write its watermarks meanwhile: read the newest and try again.
+        for attempt in range(CONFIG_ATTEMPTS):
+            number = config.last_number()
+            try:
+                config.replace(update_watermarks(config.read(), marks, "SourceName", batch_time or now()), after=number)
+                break
+            except Exception:  # noqa: BLE001 - raised again unless another writer was faster
+                if config.last_number() == number or attempt == CONFIG_ATTEMPTS - 1:
+                    raise
         outcome.steps.append("watermarks")
     logged = outcome_rows(spark, [outcome]).withColumns(
         {

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewise.functions.names import columns
+from stagewise.functions.names import column, columns
 from stagewise.functions.timestamps import elapsed_seconds, wall_time
 
 LOG_SCHEMA = (
@@ -63,8 +63,10 @@ def upsert_log_records(
         "RowsUpdated",
         F.lit(0).cast("bigint").alias("RowsDeleted"),
         elapsed_seconds(F.col("StartedOn"), F.col("EndedOn")).alias("ProcessSeconds"),
-        F.lit(None).cast("string").alias("ErrorMessage"),
-        F.lit(None).cast("timestamp_ntz").alias("MaxEffectiveDate"),
+        *[
+            (column(name) if name in outcomes.columns else F.lit(None)).cast(kind).alias(name)
+            for name, kind in (("ErrorMessage", "string"), ("MaxEffectiveDate", "timestamp_ntz"))
+        ],
     )
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -27,17 +25,11 @@ def local_session(cpus: int | str = 8, app: str = "stagewise", **conf: str) -> S
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder: on a cluster a
-    machine-local folder would be lost together with its executor.
-    """
+    """Use the shared folder named by ``spark.checkpoint.dir``, which must be set."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="stagewise-checkpoint-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from datetime import UTC, datetime
 
@@ -11,13 +12,13 @@ from pyspark.sql import functions as F
 from stagewise.functions.names import column, columns
 from stagewise.functions.timestamps import wall_time
 from stagewise.operators.ranking import latest_per_key
-from stagewise.sources.files import read_parquet
+from stagewise.sources.files import Folder, read_parquet
 
-MANIFEST_SCHEMA = "path string, size bigint, copied_on timestamp_ntz"
+MANIFEST_SCHEMA = "path string, size bigint, modified timestamp, copied_on timestamp_ntz"
 
 
 def pending(source: DataFrame, target: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Source manifest rows the target lacks, or holds with another size."""
+    """Source manifest rows the target lacks, or holds with other values of ``on``."""
     same = F.lit(True)
     for name in on:
         same = same & (column(name, "s") == column(name, "t"))
@@ -35,14 +36,12 @@ def _literal(text: str) -> str:
 
 
 def file_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Path below ``root`` and size of every parquet file. File contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
+    """Path below ``root``, size and time of every visible file, whatever its name. File
+    contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return files.select(
+        relative_path(F.col("path"), root).alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified")
     )
-    return files.select(relative_path(F.col("path"), root).alias("path"), F.col("length").alias("size"))
 
 
 def copied_manifest(spark: SparkSession, target: str) -> DataFrame:
@@ -59,12 +58,18 @@ def copy_new_files(spark: SparkSession, source: str, target: str, copied_on: dat
     is written last. Only file names pass the driver, as for any read.
     """
     source, target = source.rstrip("/"), target.rstrip("/")
-    todo = pending(file_manifest(spark, source), copied_manifest(spark, target), ["path", "size"])
-    todo = todo.select("path", "size")
+    todo = pending(file_manifest(spark, source), copied_manifest(spark, target), ["path", "size", "modified"])
+    todo = todo.select("path", "size", "modified")
     files = todo.collect()
     if not files:
         return 0
-    rows = spark.read.option("basePath", source).parquet(*[f"{source}/{row.path}" for row in files])
+    # What a file held before goes first: one that is empty now writes no partition. The
+    # manifest does not name the new copy yet, so a run that stops here is repeated.
+    data = Folder(spark, f"{target}/data")
+    for row in files:
+        data.remove(f"{target}/data/_file={hashlib.md5(row.path.encode()).hexdigest()}")
+    reader = spark.read.option("basePath", source).option("mergeSchema", "true")
+    rows = reader.parquet(*[f"{source}/{row.path}" for row in files])
     file_id = F.md5(relative_path(F.col("_metadata.file_path"), source))
     (
         rows.withColumn("_file", file_id)
@@ -74,11 +79,11 @@ def copy_new_files(spark: SparkSession, source: str, target: str, copied_on: dat
         .parquet(f"{target}/data")
     )
     stamp = wall_time(copied_on or datetime.now(UTC))
-    manifest = spark.createDataFrame(files, "path string, size bigint").withColumn("copied_on", stamp)
+    manifest = spark.createDataFrame(files, "path string, size bigint, modified timestamp").withColumn("copied_on", stamp)
     manifest.write.mode("append").parquet(f"{target}/manifest")
     return len(files)
 
 
 def read_copy(spark: SparkSession, target: str) -> DataFrame | None:
-    rows = spark.read.parquet(f"{target.rstrip('/')}/data")
+    rows = spark.read.option("mergeSchema", "true").parquet(f"{target.rstrip('/')}/data")
     return rows.drop("_file")

@@ -16,6 +16,7 @@ from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from stagewise.functions.names import columns, key_list, quoted
 from stagewise.sources.files import Folder
@@ -51,8 +52,12 @@ class CurrentTable:
         return found
 
     def latest(self) -> Commit | None:
-        commits = self.commits()
-        return commits[-1] if commits else None
+        for path in reversed(self._commits.children()):
+            try:
+                return Commit(**json.loads(self._commits.read_file(path.rsplit("/", 1)[1])))
+            except ValueError:
+                continue
+        return None
 
     def read(self) -> DataFrame | None:
         """The current rows, or None before the first commit."""
@@ -87,17 +92,26 @@ class CurrentTable:
         writer.option("path", path).saveAsTable(self._catalog_name(path))
         return path
 
-    def switch_to(self, path: str, ddl: str, facts: dict | None = None) -> Commit:
-        """Make a written version the current one. Fails if another writer was faster."""
+    def last_number(self) -> int:
+        """Number of the newest commit file, readable or not; 0 without one."""
         names = [name.rsplit("/", 1)[1] for name in self._commits.children()]
-        number = max((int(name.split(".")[0]) for name in names), default=0) + 1
+        return max((int(name.split(".")[0]) for name in names), default=0)
+
+    def switch_to(self, path: str, ddl: str, facts: dict | None = None, after: int | None = None) -> Commit:
+        """Make a written version the current one.
+
+        ``after`` is ``last_number()`` from before the rows were read: the switch fails
+        if another writer has committed since. The store must create files atomically,
+        as HDFS and local folders do.
+        """
+        number = (self.last_number() if after is None else after) + 1
         commit = Commit(number, path, ddl, self.keys, self.buckets, facts or {})
         self._commits.create_file(f"{number:012d}.json", json.dumps(asdict(commit), default=str))
         return commit
 
-    def replace(self, df: DataFrame, facts: dict | None = None) -> Commit:
+    def replace(self, df: DataFrame, facts: dict | None = None, after: int | None = None) -> Commit:
         path = self.write_version(df)
-        return self.switch_to(path, ddl_of(df), facts)
+        return self.switch_to(path, ddl_of(df), facts, after)
 
     def clear(self) -> Commit | None:
         """Switch to an empty version of the same schema."""
@@ -123,7 +137,18 @@ class CurrentTable:
 
 
 def ddl_of(df: DataFrame) -> str:
-    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
+    return ", ".join(f"{quoted(f.name)} {_type_ddl(f.dataType)}" for f in df.schema.fields)
+
+
+def _type_ddl(kind: T.DataType) -> str:
+    """A type's text with nested field names quoted."""
+    if isinstance(kind, T.StructType):
+        return "struct<" + ", ".join(f"{quoted(f.name)}: {_type_ddl(f.dataType)}" for f in kind.fields) + ">"
+    if isinstance(kind, T.ArrayType):
+        return f"array<{_type_ddl(kind.elementType)}>"
+    if isinstance(kind, T.MapType):
+        return f"map<{_type_ddl(kind.keyType)}, {_type_ddl(kind.valueType)}>"
+    return kind.simpleString()
 
 
 def publish_table(df: DataFrame, name: str) -> None:

@@ -7,10 +7,13 @@ handed out again after a crash is merged again, which leaves the table as it is.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stagewise.plans.load import Outcome, TableLoad, merge_stage, now, publish_current
+from stagewise.sources.current import CurrentTable
 
 
 def merge_arrivals(
@@ -30,7 +33,14 @@ def merge_arrivals(
     def merge_batch(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         outcome = Outcome(load.etl_config_key, load.current_path, now())
-        merge_stage(session, load, batch, outcome, {"batch": number})
+        table = CurrentTable(session, load.current_path, load.keys, load.buckets)
+        commit = table.latest()
+        facts = commit.facts if commit is not None else {}
+        if facts.get("progress") == progress_path and facts.get("batch", -1) >= number:
+            return  # merged before the stream stopped
+        # A reload is for the first batch of a stream; later ones add to what it wrote.
+        step = load if number == 0 else replace(load, source_watermark=None)
+        merge_stage(session, step, batch, outcome, {"batch": number, "progress": progress_path})
         publish_current(session, load)
         outcome.ended_on = now()
         outcomes.append(outcome)

@@ -54,8 +54,7 @@ def test_rank_versions_matches_brute_force(spark, seed):
 
 
 @pytest.mark.parametrize("hot_rows", [0, 3, 40])
-def test_hot_keys_get_the_same_ranks(spark, hot_rows, monkeypatch):
-    monkeypatch.setattr(ranking, "COPY_CHUNK", 7)
+def test_hot_keys_get_the_same_ranks(spark, hot_rows):
     rows = random_rows(9, 60) + [(1, "x", day(2), 1, "same")] * 50 + [(None, "x", day(1), 2, "same")] * 30
     df = spark.createDataFrame(rows, SCHEMA)
     plain = rank_versions(df, KEYS, "at", ["seq"])
@@ -80,11 +79,14 @@ def test_hot_key_is_spread_over_ranges(spark):
     assert max(row["count"] for row in per_task) < 4000
 
 
-def test_hot_keys_are_a_local_relation_of_known_size(spark):
-    rows = random_rows(9, 60)
-    hot = ranking._hot_keys(spark.createDataFrame(rows, SCHEMA), KEYS, 3)
-    assert 0 < hot.count() < len({r[:2] for r in rows})
-    assert "LocalTableScan" in hot._jdf.queryExecution().executedPlan().toString()
+def test_hot_keys_keep_their_rows(spark):
+    rows = [(1, -0.0, {"m": 1}), (1, 0.0, {"m": 2}), (1, float("nan"), None), (1, -0.0, {"m": 1}), (2, None, None)]
+    df = spark.createDataFrame(rows, "k int, at double, m map<string,int>")
+    plain, split = rank_versions(df, "k", "at"), rank_versions(df, "k", "at", hot_rows=1)
+    whole = lambda d: sorted(repr((r.k, r.at, r.m)) for r in d.collect())
+    assert whole(plain) == whole(split) == whole(df)
+    assert sorted(r.RowN for r in split.collect()) == [1, 1, 2, 3, 4]
+    assert ranking._hot_keys(df, ["k"], 1).count() == 1
 
 
 def test_latest_per_key_limits_groups_before_the_shuffle(spark):

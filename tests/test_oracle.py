@@ -9,7 +9,8 @@ import pytest
 import __spark_entry__ as contract
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES = {name: query for name, (query, _) in contract.REGISTERED.items()}
+SQL = {name: sql for name, (_, sql) in contract.REGISTERED.items()}
 
 # Spark type to the DuckDB type it must come out as.
 SAME_TYPE = {

@@ -8,7 +8,7 @@ from stagewise.operators import upsert as up
 from stagewise.operators.merge import merge_metrics
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
+QUERIES = {name: query for name, (query, _) in contract.REGISTERED.items()}
 
 # Shuffles each plan may hold before adaptive execution; queries not named need none.
 SHUFFLES = {
