@@ -127,12 +127,16 @@ def _folded(bits: np.ndarray, words: int) -> np.ndarray:
     return bits
 
 
-def may_link(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
-    """Whether the bit counts allow a link; bitmaps and sizes broadcast against each other."""
+def most_shared(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """The largest intersection the bit counts allow; bitmaps and sizes broadcast against each other."""
     only_a = np.bitwise_count(a & ~b).sum(-1, dtype=np.int64)
     only_b = np.bitwise_count(b & ~a).sum(-1, dtype=np.int64)
-    most = np.minimum(na - only_a, nb - only_b)
-    return most * (100 + percent) >= (na + nb) * percent
+    return np.minimum(na - only_a, nb - only_b)
+
+
+def may_link(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the bit counts allow a link."""
+    return most_shared(a, na, b, nb) * (100 + percent) >= (na + nb) * percent
 
 
 def _words(bits: list[bytes]) -> np.ndarray:
@@ -262,8 +266,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(_both(pairs, sets, "items").select("a", "b", "items_a", "items_b"), start, _PAIRS)
 
 
-def _undecided(met: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a key's members in different components that bit counts allow to link."""
+def _undecided(met: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, likeliest: bool) -> DataFrame:
+    """Pairs of a key's members in different components that bit counts allow to link: all
+    of them, or of a block's pairs between two components the likeliest alone."""
     members = split_join(met.select("key", "node"), roots, ["node"], "left").select(
         "key", "node", F.coalesce("root", "node").alias("root"))
     parts = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(node))").alias("members"))
@@ -293,8 +298,15 @@ def _undecided(met: DataFrame, roots: DataFrame, sets: DataFrame, percent: int)
                 step = max(1, (1 << 20) // (len(columns) * a.shape[1]))
                 for s in range(0, len(rows), step):
                     part = rows[s:s + step]
-                    ok = may_link(a[s:s + step, None], n[part][:, None], b[None], n[columns][None], percent)
-                    x, y = np.nonzero(ok & (root[part][:, None] != root[columns][None]))
+                    total = n[part][:, None] + n[columns][None]
+                    most = most_shared(a[s:s + step, None], n[part][:, None], b[None], n[columns][None])
+                    x, y = np.nonzero((most * (100 + percent) >= total * percent) & (root[part][:, None] != root[columns][None]))
+                    if likeliest and len(x):
+                        left, right = root[part[x]], root[columns[y]]
+                        order = np.lexsort((-most[x, y] / total[x, y], right, left))
+                        left, right = left[order], right[order]
+                        first = np.concatenate([[True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])])
+                        x, y = x[order][first], y[order][first]
                     found[0].append(node[part[x]])
                     found[1].append(node[columns[y]])
         return np.concatenate(found[0]), np.concatenate(found[1])
@@ -338,9 +350,13 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
     sets = saved(_signatures(docs.join(wanted, ["did", "th"]).dropDuplicates(["node"]), shingle), "jaccard-signatures")
     links = saved(_linked(_bounded(pairs, sets, percent), sets, percent), "jaccard-links")
     roots = components(links, "jaccard-components")
-    more = saved(_linked(_undecided(met, roots, sets, percent), sets, percent), "jaccard-links")
-    if not more.isEmpty():
-        roots = components(links.union(more), "jaccard-components")
+    # The likeliest pair of two components mostly joins them; what is left apart is then
+    # tested in full, so that no link is missed.
+    for likeliest in (True, False):
+        more = saved(_linked(_undecided(met, roots, sets, percent, likeliest), sets, percent), "jaccard-links")
+        if not more.isEmpty():
+            links = links.union(more)
+            roots = components(links, "jaccard-components")
     rooted = split_join(rows.where("node is not null"), roots, ["node"], "left").select(
         "did", "th", "n_shingles", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min(doc_id_of("did")).alias("component_id"))
