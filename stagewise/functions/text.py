@@ -26,24 +26,6 @@ def normalise_key_list(text: Column) -> Column:
     return F.translate(text, "[]", "")
 
 
-def on_clause(key_text: Column, target: str = "Target", source: str = "Source") -> Column:
-    """``a,b`` as ``Target.a = Source.a AND Target.b = Source.b``, row by row."""
-    parts = F.transform(
-        F.split(normalise_key_list(key_text), ","),
-        lambda name: F.concat(F.lit(f"{target}."), name, F.lit(f" = {source}."), name),
-    )
-    return F.array_join(parts, " AND ")
-
-
-def assignment_list(column_text: Column, audit_column: str = "ModifiedOn", source: str = "Source") -> Column:
-    """``a,b`` as ``a = Source.a,b = Source.b,ModifiedOn = SYSDATETIME()``."""
-    parts = F.transform(
-        F.split(normalise_key_list(column_text), ","),
-        lambda name: F.concat(name, F.lit(f" = {source}."), name),
-    )
-    return F.concat(F.array_join(parts, ","), F.lit(f",{audit_column} = SYSDATETIME()"))
-
-
 def labelled_values(names: list[str], values: list[Column]) -> Column:
     """``(name,value), (name,value)`` text of one row."""
     pairs = [

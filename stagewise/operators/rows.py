@@ -42,6 +42,18 @@ def split_to_rows(df: DataFrame, text: str, separator: str = ",", keep: Sequence
     return df.select(*columns(keep), F.posexplode(F.split(column(text), pattern)).alias("position", "part"))
 
 
+def rows_to_text(df: DataFrame, by: Sequence[str], text: Column, order: Sequence[Column], separator: str = ",") -> DataFrame:
+    """The texts of each group's rows joined in order; null texts are left out.
+
+    A group becomes one value, so it has to fit into one. Rows that tie in ``order``
+    follow each other by their texts.
+    """
+    ranks = [F.struct(value.isNull(), value).alias(f"_{i}") for i, value in enumerate(order)]
+    rows = df.select(*columns(by), *ranks, text.cast("string").alias("_text")).filter("_text IS NOT NULL")
+    listed = F.array_sort(F.collect_list(F.struct(*[f"_{i}" for i in range(len(ranks))], "_text")))
+    return rows.groupBy(*columns(by)).agg(F.array_join(F.transform(listed, lambda row: row["_text"]), separator).alias("text"))
+
+
 def first_row_text(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """The first row under an explicit order as ``(column,value), ...`` text."""
     first = df.orderBy(*order).limit(1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,8 +30,9 @@ PIPELINE_FIELDS = (
 )
 
 
-def log_records(outcomes: DataFrame, created_on: datetime | Column) -> DataFrame:
-    """Log rows from outcomes with ``StartedOn`` and ``EndedOn``; seconds round down."""
+def log_records(outcomes: DataFrame, created_on: datetime | Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Log rows from outcomes with ``StartedOn`` and ``EndedOn``; seconds round down. Columns
+    to ``keep`` follow."""
     stamp = created_on if isinstance(created_on, Column) else wall_time(created_on)
     return outcomes.select(
         stamp.alias("CreatedOn"),
@@ -41,6 +43,7 @@ def log_records(outcomes: DataFrame, created_on: datetime | Column) -> DataFrame
         "ErrorMessage",
         "MaxEffectiveDate",
         "EtlConfigKey",
+        *columns(keep),
     )
 
 
@@ -75,16 +78,18 @@ def as_json(df: DataFrame, name: str = "record") -> DataFrame:
     return df.select(F.to_json(F.struct(*columns(df.columns)), {"ignoreNullFields": "false"}).alias(name))
 
 
-def as_json_array(df: DataFrame, order_by: str, name: str = "records") -> DataFrame:
-    """All rows as one JSON array text, ordered by one column.
+def as_json_array(df: DataFrame, order_by: str, name: str = "records", run: str | None = None) -> DataFrame:
+    """The rows of each run as one JSON array text, ordered by one column.
 
-    For the outcomes of a run, one row per configured table: the result is a single
-    value and therefore only fit for a list that small.
+    ``run`` names the column that tells runs apart, which stays beside the text; without
+    it the rows are those of one run. An array holds one row per configured table.
     """
-    fields = [order_by, *[c for c in df.columns if c != order_by]]
+    names = [c for c in df.columns if c != run]
+    fields = [order_by, *[c for c in names if c != order_by]]
     listed = F.array_sort(F.collect_list(F.struct(*columns(fields))))
-    reordered = F.transform(listed, lambda row: F.struct(*[row[c].alias(c) for c in df.columns]))
-    return df.agg(F.to_json(reordered, {"ignoreNullFields": "false"}).alias(name))
+    reordered = F.transform(listed, lambda row: F.struct(*[row[c].alias(c) for c in names]))
+    text = F.to_json(reordered, {"ignoreNullFields": "false"}).alias(name)
+    return df.groupBy(*([] if run is None else columns([run]))).agg(text)
 
 
 def append_log(df: DataFrame, path: str) -> None:

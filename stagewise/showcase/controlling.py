@@ -4,16 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stagewise.functions.text import (
-    assignment_list,
-    normalise_key_list,
-    null_tokens_to_null,
-    on_clause,
-    uuid_or_null,
-)
+from stagewise.functions.text import normalise_key_list, null_tokens_to_null, uuid_or_null
 from stagewise.functions.timestamps import strip_offset
 from stagewise.operators.merge import merge_into_current
-from stagewise.operators.rows import first_row_text, split_to_rows
+from stagewise.operators.rows import first_row_text, rows_to_text, split_to_rows
 from stagewise.operators.watermarks import newest_at_destination, newest_at_source, source_watermark
 from stagewise.plans import config as cf
 from stagewise.plans import log as lg
@@ -56,11 +50,11 @@ def split_rows(spark, folder):
     return split_to_rows(table(spark, folder, "documents"), "text", ",", keep=["doc_id"])
 
 
-def clauses(spark, folder):
-    keys = F.replace(F.col("p_name"), F.lit(" "), F.lit(","))
-    return table(spark, folder, "part").select(
-        "p_partkey", on_clause(keys).alias("on_clause"), assignment_list(keys).alias("assignments")
-    )
+def texts_of_orders(spark, folder):
+    """The parts of every order in the order of its lines."""
+    lines = table(spark, folder, "lineitem")
+    part = F.concat(F.col("l_linenumber").cast("string"), F.lit(":"), F.col("l_partkey").cast("string"))
+    return rows_to_text(lines, ["l_orderkey"], part, [F.col("l_linenumber"), F.col("l_partkey")])
 
 
 # -- watermarks and configuration ----------------------------------------------------
@@ -116,12 +110,12 @@ def watermark_update(spark, folder):
 # -- process log ---------------------------------------------------------------------
 
 
-def _outcomes(spark, folder, by):
-    """Counts and times of the event merge, per source."""
+def _outcomes(spark, folder, by, run=None):
+    """Counts and times of the event merge, per source (of each run)."""
     stage, active = inputs.event_sides(spark, folder)
     merged = merge_into_current(stage, active, EVENT_KEYS, "ts", ["event_id"])
     key = F.col(by).cast("string")
-    return merged.groupBy(key.alias("EtlConfigKey")).agg(
+    return merged.groupBy(*([] if run is None else [run]), key.alias("EtlConfigKey")).agg(
         F.count_if(F.col("_action") == "INSERT").alias("RowsInserted"),
         F.count_if(F.col("_action") == "UPDATE").alias("RowsUpdated"),
         F.min("ts").alias("StartedOn"),
@@ -147,9 +141,9 @@ def log_json(spark, folder):
 
 
 def log_json_array(spark, folder):
-    """The outcomes of one run, a handful of sources, as one array text."""
-    records = lg.log_records(_outcomes(spark, folder, "event_type"), ntz(BATCH_TIME))
-    return lg.as_json_array(_as_text(records), order_by="EtlConfigKey")
+    """The outcomes of each run, a handful of sources, as one array text; a run per user."""
+    records = lg.log_records(_outcomes(spark, folder, "event_type", run="user_id"), ntz(BATCH_TIME), keep=["user_id"])
+    return lg.as_json_array(_as_text(records), order_by="EtlConfigKey", run="user_id")
 
 
 RULES = [
@@ -179,18 +173,18 @@ per_key AS (
   FROM ranked GROUP BY user_id, event_type),
 winners AS (SELECT r.*, had, kept FROM ranked r JOIN per_key USING (user_id, event_type) WHERE RowN = 1),
 outcomes AS (
-  SELECT CAST({by} AS VARCHAR) AS EtlConfigKey, count(*) FILTER (NOT had) AS RowsInserted,
+  SELECT {run}CAST({by} AS VARCHAR) AS EtlConfigKey, count(*) FILTER (NOT had) AS RowsInserted,
          count(*) FILTER (had AND NOT kept) AS RowsUpdated, min(ts) AS StartedOn, max(ts) AS EndedOn
-  FROM winners GROUP BY {by}),
+  FROM winners GROUP BY {run}{by}),
 records AS (
-  SELECT TIMESTAMP '{batch}' AS CreatedOn, '/Active/' || EtlConfigKey AS DestinationName, RowsInserted, RowsUpdated,
+  SELECT {run}TIMESTAMP '{batch}' AS CreatedOn, '/Active/' || EtlConfigKey AS DestinationName, RowsInserted, RowsUpdated,
          CAST(CAST(date_diff('microsecond', StartedOn, EndedOn) // 10000 AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2))
            AS ProcessSeconds,
          CASE WHEN RowsInserted = 0 THEN 'nothing inserted' END AS ErrorMessage, EndedOn AS MaxEffectiveDate, EtlConfigKey
   FROM outcomes)
 """
-BY_USER = OUTCOME_SQL.format(by="user_id", batch=BATCH_TIME)
-BY_TYPE = OUTCOME_SQL.format(by="event_type", batch=BATCH_TIME)
+BY_USER = OUTCOME_SQL.format(run="", by="user_id", batch=BATCH_TIME)
+BY_TYPE = OUTCOME_SQL.format(run="user_id, ", by="event_type", batch=BATCH_TIME)
 TEXT_STRUCT = """struct_pack(CreatedOn := CAST(CreatedOn AS VARCHAR), DestinationName := DestinationName,
   RowsInserted := CAST(RowsInserted AS VARCHAR), RowsUpdated := CAST(RowsUpdated AS VARCHAR),
   ProcessSeconds := CAST(ProcessSeconds AS VARCHAR), ErrorMessage := ErrorMessage,
@@ -225,14 +219,9 @@ QUERIES = {
                  FROM (SELECT doc_id, string_split(text, ',') AS parts FROM documents))""",
     ),
     "string_agg": (
-        clauses,
-        """SELECT p_partkey,
-                  string_agg('Target.' || part || ' = Source.' || part, ' AND ' ORDER BY i) AS on_clause,
-                  string_agg(part || ' = Source.' || part, ',' ORDER BY i) || ',ModifiedOn = SYSDATETIME()' AS assignments
-           FROM (SELECT p_partkey, parts[i] AS part, i
-                 FROM (SELECT p_partkey, parts, unnest(range(1, len(parts) + 1)) AS i
-                       FROM (SELECT p_partkey, string_split(p_name, ' ') AS parts FROM part)))
-           GROUP BY p_partkey""",
+        texts_of_orders,
+        """SELECT l_orderkey, string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY l_linenumber, l_partkey) AS text
+           FROM lineitem WHERE l_linenumber IS NOT NULL AND l_partkey IS NOT NULL GROUP BY l_orderkey""",
     ),
     "source_watermark": (
         source_mark,
@@ -290,7 +279,9 @@ QUERIES = {
     "log_json_array": (
         log_json_array,
         f"""WITH {EVENTS_SQL}, {BY_TYPE}
-            SELECT CAST(to_json(list({TEXT_STRUCT} ORDER BY EtlConfigKey)) AS VARCHAR) AS records FROM records""",
+            SELECT CAST(user_id AS VARCHAR) AS user_id,
+                   CAST(to_json(list({TEXT_STRUCT} ORDER BY EtlConfigKey)) AS VARCHAR) AS records
+            FROM records GROUP BY user_id""",
     ),
     "classify_errors": (
         errors,

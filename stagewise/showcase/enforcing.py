@@ -66,17 +66,30 @@ def distinct_documents(spark, folder):
     return distinct_rows(table(spark, folder, "documents").select("lang", "n_chars", "text"))
 
 
-HASHED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+HASHED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+# Prices as fixed decimals, so that their texts are the same everywhere; nulls are marked.
+HASHED_SQL = ", ".join(
+    f"coalesce({text}, 'null')" for text in (
+        "CAST(o_orderkey AS VARCHAR)", "CAST(o_custkey AS VARCHAR)", "o_orderstatus",
+        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)", "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')", "o_orderpriority",
+    )
+)
+
+
+def _order_texts(spark, folder):
+    orders = table(spark, folder, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
+    return orders.select(F.col("o_orderkey").alias("key"), *[
+        F.coalesce(F.col(name).cast("string"), F.lit("null")).alias(name) for name in HASHED])
 
 
 def hashes(spark, folder):
-    return table(spark, folder, "orders").select("o_orderkey", row_hash(HASHED).alias("Hash"))
+    return _order_texts(spark, folder).select(F.col("key").alias("o_orderkey"), row_hash(HASHED).alias("Hash"))
 
 
 def rejoined(spark, folder):
-    """Whole-number and text columns of a row, typed apart and joined again."""
+    """Number, date and text columns of a row, typed apart and joined again."""
     rows = distinct_rows(table(spark, folder, "orders").select(*HASHED)).withColumn("Hash", row_identity(HASHED))
-    numbers = rows.select("Hash", F.col("o_orderkey").cast("string").try_cast("bigint").alias("o_orderkey"),
+    numbers = rows.select("Hash", "o_totalprice", "o_orderdate", F.col("o_orderkey").cast("string").try_cast("bigint").alias("o_orderkey"),
                           F.col("o_custkey").cast("string").try_cast("int").alias("o_custkey"))
     texts = rows.select("Hash", "o_orderstatus", "o_orderpriority")
     return rejoin_on_hash(numbers, texts).drop("Hash")
@@ -140,12 +153,13 @@ QUERIES = {
     "distinct_rows": (distinct_documents, "SELECT DISTINCT lang, n_chars, text FROM documents"),
     "row_hash": (
         hashes,
-        """SELECT o_orderkey, md5(concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)) AS Hash
+        """SELECT o_orderkey, md5(concat_ws(',', """ + HASHED_SQL + """)) AS Hash
            FROM orders""",
     ),
     "hash_rejoin": (
         rejoined,
-        """SELECT DISTINCT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus, o_orderpriority
+        """SELECT DISTINCT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_totalprice, o_orderdate,
+                  o_orderstatus, o_orderpriority
            FROM orders""",
     ),
 }

@@ -30,7 +30,7 @@ EVENTS_SQL = f"""
 active AS (
   SELECT * FROM events WHERE ts < TIMESTAMP '{EVENTS_ACTIVE_UNTIL}'
   QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC) = 1),
-stage AS (SELECT * FROM events WHERE ts >= TIMESTAMP '{EVENTS_STAGE_FROM}'),
+stage AS (SELECT * FROM events WHERE ts >= TIMESTAMP '{EVENTS_STAGE_FROM}' OR ts IS NULL),
 tagged AS (
   SELECT *, 'Stage' AS SourceFolder FROM stage
   UNION ALL SELECT *, 'Active' AS SourceFolder FROM active),
@@ -45,9 +45,10 @@ ranked AS (
 def split_versions(
     df: DataFrame, keys: list[str], date: str, ties: list[str], active_until: str, stage_from: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Stage rows and current rows of one table, split on its effective date."""
+    """Stage rows and current rows of one table, split on its effective date; rows
+    without a date are staged."""
     active = latest_per_key(df.filter(F.col(date) < ntz(active_until)), keys, date, ties)
-    return df.filter(F.col(date) >= ntz(stage_from)), active
+    return df.filter((F.col(date) >= ntz(stage_from)) | F.col(date).isNull()), active
 
 
 def event_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -74,7 +75,7 @@ source AS (
          CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
          CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice + 10 ELSE o_totalprice END AS o_totalprice,
          CASE WHEN o_orderpriority NOT IN ('1-URGENT', '5-LOW') THEN o_orderpriority END AS o_orderpriority
-  FROM orders WHERE o_orderdate >= TIMESTAMP '{SOURCE_FROM}'),
+  FROM orders WHERE o_orderdate >= TIMESTAMP '{SOURCE_FROM}' OR o_orderdate IS NULL),
 merged AS (
   SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, coalesce(t.o_custkey, s.o_custkey) AS o_custkey,
          CASE WHEN s.o_orderkey IS NULL THEN t.o_orderstatus ELSE s.o_orderstatus END AS o_orderstatus,
@@ -92,7 +93,7 @@ merged AS (
 
 
 def upsert_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Target rows, and re-extracted source rows with corrections."""
+    """Target rows, and re-extracted source rows with corrections (those without a date too)."""
     orders = table(spark, folder, "orders")
     priority = F.col("o_orderpriority")
     target = orders.filter(F.col("o_orderdate") < ntz(TARGET_UNTIL)).select(
@@ -102,7 +103,7 @@ def upsert_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
         F.when(priority != "1-URGENT", priority).alias("o_orderpriority"),
         F.col("o_orderdate").alias("ModifiedOn"),
     )
-    source = orders.filter(F.col("o_orderdate") >= ntz(SOURCE_FROM)).select(
+    source = orders.filter((F.col("o_orderdate") >= ntz(SOURCE_FROM)) | F.col("o_orderdate").isNull()).select(
         *ORDER_KEYS,
         F.when(F.col("o_orderstatus") == "P", "F").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
         F.when(priority == "2-HIGH", F.col("o_totalprice") + 10).otherwise(F.col("o_totalprice")).alias("o_totalprice"),

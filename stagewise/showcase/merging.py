@@ -88,6 +88,17 @@ def merged(spark, folder):
     return up.upsert(target, source, ORDER_KEYS, ORDER_VALUES, ntz(BATCH_TIME), target_unique=True)
 
 
+def merged_general(spark, folder):
+    """The general form: the source as a query's text, a target with repeated and null keys."""
+    target, source = inputs.upsert_sides(spark, folder)
+    source.createOrReplaceTempView("orders_to_upsert")
+    fields = ", ".join(ORDER_VALUES)
+    query = f"SELECT nullif(o_custkey % 7, 0) AS part, o_orderkey, {fields} FROM orders_to_upsert"
+    target = target.withColumn("part", F.expr("nullif(o_custkey % 7, 0)")).drop("o_custkey")
+    twice = target.unionByName(target.filter(F.col("o_orderkey") % 5 == 0))
+    return up.upsert(twice, spark.sql(query), ["o_orderkey", "part"], ORDER_VALUES, ntz(BATCH_TIME))
+
+
 def action_counts(spark, folder):
     return up.action_counts(merged(spark, folder))
 
@@ -126,13 +137,13 @@ SELECT '{name}' AS table_name, n_active AS active, merged, merged - n_active AS
 FROM (
   WITH active AS (
     SELECT {key_text}, {date}{"".join(", " + tie for tie in ties)} FROM {name} WHERE {date} < TIMESTAMP '{until}'
-    QUALIFY row_number() OVER (PARTITION BY {key_text} ORDER BY {date} DESC{tie_text}) = 1),
+    QUALIFY row_number() OVER (PARTITION BY {key_text} ORDER BY {date} DESC NULLS LAST{tie_text}) = 1),
   tagged AS (
     SELECT {key_text}, {date}{"".join(", " + tie for tie in ties)}, 'Stage' AS side FROM {name}
-    WHERE {date} >= TIMESTAMP '{since}'
+    WHERE {date} >= TIMESTAMP '{since}' OR {date} IS NULL
     UNION ALL SELECT *, 'Active' FROM active),
   ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY {key_text} ORDER BY {date} DESC{tie_text}, side DESC) AS rn FROM tagged)
+    SELECT *, row_number() OVER (PARTITION BY {key_text} ORDER BY {date} DESC NULLS LAST{tie_text}, side DESC) AS rn FROM tagged)
   SELECT count(*) FILTER (side = 'Active') AS n_active, count(*) FILTER (rn = 1) AS merged,
          count(*) FILTER (side = 'Active' AND rn >= 2) AS updated,
          count(*) FILTER (side = 'Active' AND rn = 2) AS updated_rank2, max({date}) AS max_effective_date
@@ -229,6 +240,24 @@ QUERIES = {
                    _action
             FROM merged""",
     ),
+    "merge_upsert_general": (
+        merged_general,
+        f"""WITH {UPSERT_SQL.rstrip()},
+            keyed AS (SELECT *, nullif(o_custkey % 7, 0) AS part FROM merged),
+            known AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, ModifiedOn FROM target
+                      UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, ModifiedOn
+                      FROM target WHERE o_orderkey % 5 = 0)
+            SELECT o_orderkey, part, o_orderstatus, o_totalprice, o_orderpriority,
+                   CASE WHEN _action = 'UPDATE' THEN TIMESTAMP '{BATCH_TIME}' ELSE old_modified END AS ModifiedOn, _action
+            FROM keyed WHERE part IS NOT NULL
+            UNION ALL SELECT o_orderkey, part, o_orderstatus, o_totalprice, o_orderpriority,
+                   CASE WHEN _action = 'UPDATE' THEN TIMESTAMP '{BATCH_TIME}' ELSE old_modified END, _action
+            FROM keyed WHERE part IS NOT NULL AND _action <> 'INSERT' AND o_orderkey % 5 = 0
+            UNION ALL SELECT o_orderkey, NULL, o_orderstatus, o_totalprice, o_orderpriority, ModifiedOn, 'TARGET_ONLY'
+            FROM known WHERE o_custkey % 7 = 0
+            UNION ALL SELECT o_orderkey, NULL, o_orderstatus, o_totalprice, o_orderpriority, NULL, 'INSERT'
+            FROM source WHERE o_custkey % 7 = 0""",
+    ),
     "merge_actions": (
         action_counts,
         f"""WITH {UPSERT_SQL}

@@ -6,7 +6,7 @@ from support import as_multiset, day
 
 from stagewise.functions import text as tx
 from stagewise.functions.names import key_list
-from stagewise.operators.rows import first_row_text
+from stagewise.operators.rows import first_row_text, rows_to_text
 from stagewise.plans import config as cf
 from stagewise.plans import log as lg
 from stagewise.plans.errors import Rule, classify
@@ -22,12 +22,14 @@ def test_text(spark):
         spark,
         tx.null_tokens_to_null(F.lit(r"\N")), tx.null_tokens_to_null(F.lit("")), tx.null_tokens_to_null(F.lit("N")),
         tx.uuid_or_null(F.lit("ABCDEF00-1111-2222-3333-444455556666")), tx.uuid_or_null(F.lit("ABCDEF00-1111")),
-        tx.on_clause(F.lit("[a],[b]")), tx.assignment_list(F.lit("a,b")),
-    )
-    assert got == (
-        None, None, "N", "abcdef00-1111-2222-3333-444455556666", None,
-        "Target.a = Source.a AND Target.b = Source.b", "a = Source.a,b = Source.b,ModifiedOn = SYSDATETIME()",
     )
+    assert got == (None, None, "N", "abcdef00-1111-2222-3333-444455556666", None)
+
+
+def test_rows_to_text(spark):
+    rows = spark.createDataFrame([("a", 2, "y"), ("a", 1, "x"), ("a", 1, "b"), ("a", 3, None), ("a", None, "z"), (None, 1, "n"), ("e", 1, None)], "k string, i int, t string")
+    got = {r.k: r.text for r in rows_to_text(rows, ["k"], F.col("t"), [F.col("i")], "|").collect()}
+    assert got == {"a": "b|x|y|z", None: "n"}
 
 
 def test_parameter_rows_and_maps(spark):
