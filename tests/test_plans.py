@@ -18,6 +18,7 @@ SHUFFLES = {
     "multi_table_merge": 9, "incremental_copy_manifest": 4, "cast_pass": 1, "cast_fail": 1, "distinct_rows": 1,
     "hash_rejoin": 4, "source_watermark": 1, "config_lookup": 3, "config_watermark_update": 3,
     "process_log": 7, "log_to_json": 7, "log_json_array": 7,
+    "string_agg": 1, "merge_upsert_general": 8,
 }
 
 
