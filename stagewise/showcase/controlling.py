@@ -115,7 +115,7 @@ def _outcomes(spark, folder, by, run=None):
     stage, active = inputs.event_sides(spark, folder)
     merged = merge_into_current(stage, active, EVENT_KEYS, "ts", ["event_id"])
     if run is not None:
-        merged = merged.repartition(run)  # one shuffle serves the counts and the grouping by run
+        merged = merged.withColumn(run, F.col(run).cast("string")).repartition(run)  # one shuffle serves the counts and the grouping by run
     key = F.col(by).cast("string")
     return merged.groupBy(*([] if run is None else [run]), key.alias("EtlConfigKey")).agg(
         F.count_if(F.col("_action") == "INSERT").alias("RowsInserted"),
