@@ -10,8 +10,9 @@ above by bit counts, and only pairs that pass are intersected exactly.
 A group of near copies meets under the same keys many times over. It is not expanded
 into pairs: its members are compared with the first member of each key, and after the
 components of those links are known, only members of a group that are still in different
-components are compared, in blocks of bitmaps of bounded size. No link between two
-components is lost, and pairs within one need no test.
+components are compared, in blocks of bitmaps of bounded size; the one pair of a key that
+two sets have is tested by itself. No link between two components is lost, and pairs
+within one need no test.
 """
 
 from __future__ import annotations
@@ -266,15 +267,25 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(_both(pairs, sets, "items").select("a", "b", "items_a", "items_b"), start, _PAIRS)
 
 
-def _undecided(met: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, likeliest: bool) -> DataFrame:
+def _undecided(met: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, tested: DataFrame | None) -> DataFrame:
     """Pairs of a key's members in different components that bit counts allow to link: all
-    of them, or of a block's pairs between two components the likeliest alone."""
+    of them; or with ``tested``, of a block's pairs between two components the likeliest
+    alone, and the pairs of keys with two members that are not among the tested ones.
+    (Once that is done, every key with two members has had its pair tested.)"""
+    likeliest = tested is not None
     members = split_join(met.select("key", "node"), roots, ["node"], "left").select(
         "key", "node", F.coalesce("root", "node").alias("root"))
-    parts = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(node))").alias("members"))
+    parts = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(node))").alias("members"), F.min("node").alias("least"))
     groups = parts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"),
-                                      F.sum("n").alias("all"), F.count("*").alias("parts"), F.expr("bit_xor(members)").alias("members")).where("parts > 1 and all > 2")
-    groups = groups.dropDuplicates(["members", "all"]).select("key", "main", F.ceil((F.col("all") - F.col("most")) / FEW).cast("int").alias("rows"),
+                                      F.sum("n").alias("all"), F.count("*").alias("parts"), F.expr("bit_xor(members)").alias("members"),
+                                      F.min("least").alias("a"), F.max("least").alias("b")).where("parts > 1")
+    if likeliest:
+        groups = saved(groups.dropDuplicates(["members", "all"]).drop("members", "parts"), "jaccard-groups")
+        two = groups.where("all = 2").select("a", "b").join(tested, ["a", "b"], "left_anti")
+        groups = groups.where("all > 2")
+    else:
+        groups = groups.where("all > 2").dropDuplicates(["members", "all"])
+    groups = groups.select("key", "main", F.ceil((F.col("all") - F.col("most")) / FEW).cast("int").alias("rows"),
                            F.ceil(F.col("all") / MANY).cast("int").alias("columns"))
     open_ = split_join(members, groups, ["key"])
     slot = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), F.col(n)).cast("int")
@@ -311,8 +322,9 @@ def _undecided(met: DataFrame, roots: DataFrame, sets: DataFrame, percent: int,
                     found[1].append(node[columns[y]])
         return np.concatenate(found[0]), np.concatenate(found[1])
 
-    return sorted_tiles(blocks.select("key", "i", "j", "few", "node", "root", "n", "bits"), ["key", "i", "j"], compare, _PAIRS).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = sorted_tiles(blocks.select("key", "i", "j", "few", "node", "root", "n", "bits"), ["key", "i", "j"], compare, _PAIRS).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return (found.union(_bounded(two, sets, percent)) if likeliest else found).distinct()
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) -> DataFrame:
@@ -343,6 +355,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
              .select("node", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("hub"))
              .union(met.groupBy("key").agg(F.min("hub").alias("node"), F.max("hub").alias("hub")).where("node <> hub").select("node", "hub"))
              .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
+    pairs = saved(pairs, "jaccard-pairs")
     shared = met.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
     met = split_join(met, shared, ["key"])
     at = rows.where("node is not null").groupBy("node").agg(F.min(F.struct("did", "th")).alias("at"))
@@ -352,8 +365,8 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
     roots = components(links, "jaccard-components")
     # The likeliest pair of two components mostly joins them; what is left apart is then
     # tested in full, so that no link is missed.
-    for likeliest in (True, False):
-        more = saved(_linked(_undecided(met, roots, sets, percent, likeliest), sets, percent), "jaccard-links")
+    for tested in (pairs, None):
+        more = saved(_linked(_undecided(met, roots, sets, percent, tested), sets, percent), "jaccard-links")
         if not more.isEmpty():
             links = links.union(more)
             roots = components(links, "jaccard-components")

@@ -108,6 +108,39 @@ def test_jaccard_brute_force(spark, k, percent, monkeypatch):
     assert len({c for _, c in got.values()}) < len(texts) - 8
 
 
+def test_jaccard_tests_the_middle_hub(spark):
+    """A set meets three others, each under keys that no third set has, and links with the middle one alone."""
+    import pyarrow as pa
+
+    rnd, bands = random.Random(5), op5.Bands(90)
+    words = [f"w{rnd.randrange(10**12)}" for _ in range(4000)]
+    items = {w: next(op5.Shingles(1).of(pa.array([w.encode()])))[0] for w in words}
+    tile = bands.band(100)
+    which = {w: int((op5.mixed(x + np.uint64(tile)) >> np.uint64(32)) * np.uint64(bands.tile(tile)[0]) >> np.uint64(32)) for w, x in items.items()}
+
+    def about(words):
+        found = np.unique(np.array([items[w] for w in words], np.uint64))
+        return int(np.array([op5.class_of(found)], np.uint64).view(np.int64)[0]), set(op5.tile_keys(found, bands).tolist())
+
+    for _ in range(2000):
+        rnd.shuffle(words)
+        b, spare = words[:100], words[100:]
+        one, own = ([w for w in b if which[w] == c] for c in (0, 1))
+        if not one or not own:
+            continue
+        middle = [w for w in b if w not in (one[0], own[0])] + spare[:2]
+        first = one + [w for w in spare if which[w] != 0][10:110 - len(one)]
+        last = own + [w for w in spare if which[w] != 1][-110 + len(own):-10]
+        (hb, kb), (ha, ka), (h1, k1), (h3, k3) = map(about, (b, middle, first, last))
+        if h1 < ha < h3 < hb and ka & kb and k1 & kb and k3 & kb and not (k1 & ka or k3 & ka or k1 & k3):
+            break
+    else:
+        raise AssertionError("no such sets")
+    texts = [" ".join(sorted(t)) for t in (middle, first, last, b)]
+    got = {r.did: r.component_id for r in op5.jaccard_components(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS), 1, 90).collect()}
+    assert got == dict(enumerate(components_of([set(t.split()) for t in texts], [0, 1, 2, 3], 90))) == {0: 0, 1: 1, 2: 2, 3: 0}
+
+
 def test_tile_keys_meet_whatever_is_empty():
     rnd, bands = np.random.default_rng(1), op5.Bands(80)
     for n in (1, 2, 3, 5, 9, 20, 60, 300):
