@@ -260,6 +260,19 @@ def test_html_extraction(spark):
         op7.LISTED = before
 
 
+def test_html_host_of_copies_without_article(spark):
+    """Copies of a page count once; what distinct pages repeat still goes, and what only one says stays."""
+    page = "<body><div class='c'>{}</div></body>"
+    one, ten = page.format("<p>Only text</p>"), page.format("".join(f"<p>Paragraph {i}</p>" for i in range(10)))
+    rows = [(i, "http://one.org/p", one + f"<!-- {i % 3} -->") for i in range(10)] + [(100 + i, "http://ten.org/p", ten) for i in range(40)]
+    rows += [(200, "http://one.org/q", page.format("<p>Another page</p>"))]
+    rows += [(300 + i, "http://mixed.org/p", page.format("<p>Rights</p>") + f"<div><i>{i}</i></div>") for i in range(12)] + [(399, "http://mixed.org/q", page.format("<p>Said once</p>"))]
+    got = {r.page_id: r.text for r in op7.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {got[i] for i in range(10)} == {"Only text"} and got[200] == "Another page"
+    assert {got[100 + i] for i in range(40)} == {"\n\n".join(f"Paragraph {i}" for i in range(10))}
+    assert [got[300 + i] for i in range(12)] == [str(i) for i in range(12)] and got[399] == "Said once"
+
+
 def test_warc(spark):
     big = "x" * 999 + "é"
     rows = [(1, "http://B.org/a?q#f", big), (9, None, big), (3, "http://b.org/a", "WARC/1.1\r\n\r\n" + big), (4, "no url \r\n x", ""), (5, "http://b.org/", None), (6, "http://c.a/", "x" * 999), (7, "http://c.a/", "x" * 999)]
