@@ -273,6 +273,17 @@ def test_html_host_of_copies_without_article(spark):
     assert [got[300 + i] for i in range(12)] == [str(i) for i in range(12)] and got[399] == "Said once"
 
 
+def test_html_articles_within_noise():
+    texts = lambda html: [t for _, t in op7.page_blocks(html)[0]]
+    teaser = "<article><p>Teaser</p></article>"
+    for tag in ("aside", "nav", "footer", "form"):
+        assert texts(f"<div><p>Real text</p></div><{tag}>{teaser}{teaser}</{tag}>") == ["Real text"]
+        assert texts(f"<{tag}><div>{teaser}</div></{tag}><article><p>Real text</p></article><{tag}>{teaser}</{tag}>") == ["Real text"]
+        assert texts(f"<{tag}>left open <article><p>Real text</p></article><p>more</p>") == ["Real text"]
+    assert texts(f"<nav>left open<aside>{teaser}</aside><article><p>Real text</p><nav>x</nav></article>") == ["Real text"]
+    assert texts("<form><article><p>All there is</p></article></form>") == ["All there is"]
+
+
 def test_warc(spark):
     big = "x" * 999 + "é"
     rows = [(1, "http://B.org/a?q#f", big), (9, None, big), (3, "http://b.org/a", "WARC/1.1\r\n\r\n" + big), (4, "no url \r\n x", ""), (5, "http://b.org/", None), (6, "http://c.a/", "x" * 999), (7, "http://c.a/", "x" * 999)]
