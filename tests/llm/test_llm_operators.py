@@ -284,6 +284,18 @@ def test_html_articles_within_noise():
     assert texts("<form><article><p>All there is</p></article></form>") == ["All there is"]
 
 
+def test_html_names_match_whole():
+    texts = lambda html: [t for _, t in op7.page_blocks(html)[0]]
+    assert texts('<article class="post category-social"><p>a</p></article>') == ["a"]
+    assert texts('<article class="social"><p>a</p></article><article class="comment"><p>c</p></article>') == ["a"]
+    assert texts('<section id="discussion"><p>a</p></section>') == ["a"]
+    assert texts('<article><h2 id="related-work">h</h2><section id="discussion"><p>a</p></section><div class="section" id="notice"><p>b</p></div></article>') == ["h", "a", "b"]
+    assert texts('<div class="content no-sidebar"><p>a</p></div><div class="entry-ad-free"><p>b</p></div>') == ["a", "b"]
+    for name in ("sidebar", "left-sidebar", "share_buttons", "x nav y", "cookie-notice"):
+        assert texts(f'<p>a</p><div class="{name}">b</div><div id="{name.split()[0]}" role="navigation">c</div>') == ["a"]
+    assert texts('<article><p>a</p><div class="comments-area"><p>c</p></div></article>') == ["a"]
+
+
 def test_warc(spark):
     big = "x" * 999 + "é"
     rows = [(1, "http://B.org/a?q#f", big), (9, None, big), (3, "http://b.org/a", "WARC/1.1\r\n\r\n" + big), (4, "no url \r\n x", ""), (5, "http://b.org/", None), (6, "http://c.a/", "x" * 999), (7, "http://c.a/", "x" * 999)]
