@@ -106,6 +106,9 @@ def merge_into_current(
     keys: str | Iterable[str],
     effective_date: str,
     tie_breakers: Sequence[str] = (),
+    buckets: int | None = None,
+    null_keys: bool = True,
+    hash_stage: bool = False,
 ) -> DataFrame:
     """Merge Stage into a current table known to hold one row per key.
 
@@ -114,18 +117,27 @@ def merge_into_current(
     the current side is joined on its plain key columns: a current table bucketed by
     the keys is neither shuffled nor ranked. Null key parts are equal to each other
     here; rows that have one are joined apart, as only null-safe equality matches them.
+
+    ``buckets`` deals the reduced Stage out as the current side is bucketed. With
+    ``hash_stage`` Stage is the hashed side, and the current side is not sorted either; the
+    caller has checked that the staged rows of a bucket fit in memory. Where Stage is known
+    to have no null key part, ``null_keys=False`` makes it one join.
     """
     keys = key_list(keys)
     complete = reduce(lambda a, b: a & b, [column(key).isNotNull() for key in keys])
+    dealt = buckets, hash_stage
+    if not null_keys:
+        return _join_current(stage, current, keys, effective_date, tie_breakers, False, *dealt)
     parts = [
-        _join_current(stage.filter(rows), current.filter(rows), keys, effective_date, tie_breakers, null_safe)
+        _join_current(stage.filter(rows), current.filter(rows), keys, effective_date, tie_breakers, null_safe, *dealt)
         for rows, null_safe in ((complete, False), (~complete, True))
     ]
     return parts[0].unionByName(parts[1])
 
 
 def _join_current(
-    stage: DataFrame, current: DataFrame, keys: list[str], effective_date: str, tie_breakers: Sequence[str], null_safe: bool
+    stage: DataFrame, current: DataFrame, keys: list[str], effective_date: str, tie_breakers: Sequence[str], null_safe: bool,
+    buckets: int | None, hash_stage: bool,
 ) -> DataFrame:
     age = [effective_date, *tie_breakers]
     window = Window.partitionBy(*columns(keys)).orderBy(*newest_first(stage, keys, effective_date, tie_breakers))
@@ -135,6 +147,10 @@ def _join_current(
         .filter("RowN = 1")
         .withColumn("_in_stage", F.lit(True))
     )
+    if buckets is not None:
+        newest = newest.repartition(buckets, *columns(keys))
+    if hash_stage:
+        newest = newest.hint("shuffle_hash")
     known = current.withColumn("_in_current", F.lit(True))
     equal = Column.eqNullSafe if null_safe else Column.__eq__
     on = reduce(lambda a, b: a & b, [equal(column(key, "s"), column(key, "c")) for key in keys])

@@ -122,28 +122,14 @@ def upsert(
     sides cannot be split, which only matters when a target key has very many rows.
     """
     keys = key_list(keys)
-    if values is None:
-        values = [name for name in source.columns if name not in keys]
-    values = [name for name in values if name != audit_column]
-    unknown = [name for name in [*keys, *values] if name not in target.columns]
-    if unknown:
-        raise ValueError("not in the target: " + ", ".join(unknown))
+    values, incoming = _incoming(target, source, keys, values, audit_column)
     stamp = _batch_stamp(batch_time)
-
-    types = {field.name: field.dataType for field in target.schema.fields}
-    sent = {field.name: field.dataType for field in source.schema.fields}
-    incoming = source.select(*[_fitted(name, sent[name], types[name]) for name in [*keys, *values]])
     matchable = require_unique_keys(incoming.filter(keys_complete(keys)), keys)
     current = target.filter(keys_complete(keys))
 
     has_source = column(keys[0], "s").isNotNull()
     has_target = column(keys[0], "t").isNotNull()
-    action = (
-        F.when(~has_target, INSERT)
-        .when(~has_source, TARGET_ONLY)
-        .when(values_differ(values), UPDATE)
-        .otherwise(UNCHANGED)
-    )
+    action = _action_of(has_source, has_target, values)
     cells = [_merged_cell(field, keys, values, audit_column, stamp) for field in target.schema.fields]
     if target_unique:
         pair = matchable.alias("s").join(current.alias("t"), keys_equal(keys), "full_outer")
@@ -159,6 +145,64 @@ def upsert(
     return result
 
 
+def one_sided_upsert(
+    target: DataFrame,
+    source: DataFrame,
+    keys: str | Iterable[str],
+    values: Sequence[str] | None = None,
+    batch_time: datetime | Column | None = None,
+    audit_column: str = AUDIT_COLUMN,
+    insert_null_keys: bool = True,
+    buckets: int | None = None,
+    hash_source: bool = True,
+) -> DataFrame:
+    """``upsert`` into a target bucketed by its keys, which is scanned once where it lies.
+
+    One full outer join: the source has one row per key and is dealt out as the target is
+    bucketed, so the target is neither shuffled nor, with ``hash_source``, sorted; a key's
+    target rows, however many, stream past the source row. Rows with null keys match nothing
+    in the same join. The caller has checked that the source rows of a bucket fit in memory.
+    """
+    keys = key_list(keys)
+    values, incoming = _incoming(target, source, keys, values, audit_column)
+    stamp = _batch_stamp(batch_time)
+    sent = require_unique_keys(incoming if insert_null_keys else incoming.filter(keys_complete(keys)), keys)
+    sent = sent.withColumn("_in_source", F.lit(True))
+    if buckets is not None:
+        sent = sent.repartition(buckets, *columns(keys))
+    if hash_source:
+        sent = sent.hint("shuffle_hash")
+    known = target.withColumn("_in_target", F.lit(True))
+    pair = sent.alias("s").join(known.alias("t"), keys_equal(keys), "full_outer")
+    action = _action_of(F.col("_in_source").isNotNull(), F.col("_in_target").isNotNull(), values)
+    cells = [_merged_cell(field, keys, values, audit_column, stamp) for field in target.schema.fields]
+    return pair.withColumn("_action", action).select(*cells, "_action")
+
+
+def _incoming(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], values: Sequence[str] | None, audit_column: str
+) -> tuple[list[str], DataFrame]:
+    """The value columns of an upsert, and its source in the target's types."""
+    if values is None:
+        values = [name for name in source.columns if name not in keys]
+    values = [name for name in values if name != audit_column]
+    unknown = [name for name in [*keys, *values] if name not in target.columns]
+    if unknown:
+        raise ValueError("not in the target: " + ", ".join(unknown))
+    types = {field.name: field.dataType for field in target.schema.fields}
+    sent = {field.name: field.dataType for field in source.schema.fields}
+    return values, source.select(*[_fitted(name, sent[name], types[name]) for name in [*keys, *values]])
+
+
+def _action_of(has_source: Column, has_target: Column, values: Sequence[str]) -> Column:
+    return (
+        F.when(~has_target, INSERT)
+        .when(~has_source, TARGET_ONLY)
+        .when(values_differ(values), UPDATE)
+        .otherwise(UNCHANGED)
+    )
+
+
 def _fitted(name: str, sent: T.DataType, wanted: T.DataType) -> Column:
     """A source column in the target's type; a value that does not fit fails the query."""
     if sent == wanted:

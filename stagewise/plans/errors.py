@@ -27,6 +27,15 @@ class Rule:
     keep_message: bool = False
 
 
+# Failures of loads. ValueError counts as custom: the loads raise it for what they refuse.
+OUTCOME_RULES = (
+    Rule("AnalysisException", "PATH_NOT_FOUND", " [a path is missing]", keep_message=True),
+    Rule("AnalysisException", "UNRESOLVED_COLUMN", " [a configured column is missing]", keep_message=True),
+    Rule("TimeoutError", None, " [cancelled]", keep_message=True),
+    Rule("SparkRuntimeException", "USER_RAISED_EXCEPTION", " [the data broke a rule]", keep_message=True),
+)
+
+
 def classify(kind: Column, message: Column, rules: Sequence[Rule], custom_kind: str = "custom") -> Column:
     """Outcome text of a failure; the first matching rule wins.
 

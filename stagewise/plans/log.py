@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stagewise.functions.names import column, columns
 from stagewise.functions.timestamps import elapsed_seconds, wall_time
+from stagewise.sources.files import Folder
 
 LOG_SCHEMA = (
     "CreatedOn timestamp_ntz, DestinationName string, RowsInserted bigint, RowsUpdated bigint, "
@@ -92,9 +95,59 @@ def as_json_array(df: DataFrame, order_by: str, name: str = "records", run: str
     return df.groupBy(*([] if run is None else columns([run]))).agg(text)
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append_log(df: DataFrame, path: str, run: str | None = None) -> None:
+    """Append the rows of one run. The run's rows lie in a folder of its own, so a run that
+    is logged already adds nothing, and one whose writing broke off is written again."""
+    run = run or uuid.uuid4().hex
+    folder = Folder(df.sparkSession, path)
+    if run in _replaced(folder) or Folder(df.sparkSession, f"{path}/run={run}/_SUCCESS").exists():
+        return
+    df.coalesce(1).write.mode("overwrite").parquet(f"{path}/run={run}")
+
+
+def _index(folder: Folder) -> dict:
+    """What was compacted: the folders that hold it, and the runs they stand for."""
+    names = [p.rsplit("/", 1)[1] for p in Folder(folder._spark, f"{folder.path}/index").children()]
+    return json.loads(folder.read_file(f"index/{names[-1]}")) if names else {"number": 0, "folder": None, "runs": []}
+
+
+def _replaced(folder: Folder) -> set[str]:
+    return set(_index(folder)["runs"])
+
+
+def _log_folders(spark: SparkSession, path: str) -> tuple[dict, list[str]]:
+    """The index, and the complete run folders it does not stand for."""
+    folder = Folder(spark, path)
+    index = _index(folder)
+    runs = [p.rsplit("/", 1)[1] for p in folder.children() if p.rsplit("/", 1)[1].startswith("run=")]
+    done = [run for run in runs if run.removeprefix("run=") not in set(index["runs"])]
+    return index, [run for run in done if Folder(spark, f"{path}/{run}/_SUCCESS").exists()]
+
+
+def compact_log(spark: SparkSession, path: str) -> int:
+    """Gather all runs' rows into few files; returns how many runs were gathered.
+
+    The gathered rows are written beside the runs and count once the index names them;
+    from then on the runs' folders do not. These are removed last, and by a later call
+    if this one stops.
+    """
+    index, runs = _log_folders(spark, path)
+    folder = Folder(spark, path)
+    if runs:
+        name = f"gathered/{uuid.uuid4().hex}"
+        read_log(spark, path).coalesce(max(1, len(runs) // 10_000)).write.parquet(f"{path}/{name}")
+        number = index["number"] + 1
+        known = [*index["runs"], *(run.removeprefix("run=") for run in runs)]
+        folder.create_file(f"index/{number:012d}.json", json.dumps({"number": number, "folder": name, "runs": known}))
+    replaced = _replaced(folder)
+    for child in folder.children():
+        if child.rsplit("/", 1)[1].removeprefix("run=") in replaced:
+            folder.remove(child)
+    return len(runs)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """All logged rows; runs may have logged different columns."""
+    index, runs = _log_folders(spark, path)
+    found = [f"{path}/{name}" for name in ([index["folder"]] if index["folder"] else []) + runs]
+    return spark.read.option("mergeSchema", "true").parquet(*found)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -33,3 +36,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if folder is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(folder)
+
+
+def work_folder(spark: SparkSession, label: str) -> str:
+    """A new folder name below ``spark.checkpoint.dir``, which all executors share. Only a
+    local master without that setting gets a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        root = tempfile.mkdtemp(prefix="stagewise-")
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

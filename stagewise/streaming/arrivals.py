@@ -2,7 +2,7 @@
 
 The file source remembers which Stage files it has handed out, which takes the place
 of emptying Stage after a load. Every run takes what has arrived and stops. A batch
-handed out again after a crash is merged again, which leaves the table as it is.
+handed out again after a crash is not merged again, but published if that was left undone.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from stagewise.plans.load import Outcome, TableLoad, merge_stage, now, publish_current
+from stagewise.plans.load import Outcome, TableLoad, follow_up, merge_stage, now
 from stagewise.sources.current import CurrentTable
 
 
@@ -36,12 +36,16 @@ def merge_arrivals(
         table = CurrentTable(session, load.current_path, load.keys, load.buckets)
         commit = table.latest()
         facts = commit.facts if commit is not None else {}
-        if facts.get("progress") == progress_path and facts.get("batch", -1) >= number:
-            return  # merged before the stream stopped
-        # A reload is for the first batch of a stream; later ones add to what it wrote.
-        step = load if number == 0 else replace(load, source_watermark=None)
-        merge_stage(session, step, batch, outcome, {"batch": number, "progress": progress_path})
-        publish_current(session, load)
+        merged = facts.get("progress") == progress_path and facts.get("batch", -1) >= number
+        if not merged:
+            # A reload is for the first batch of a stream; later ones add to what it wrote.
+            step = load if number == 0 else replace(load, source_watermark=None)
+            steps = ["publish"] if load.publish_as is not None else []
+            commit = merge_stage(session, step, batch, outcome, {"batch": number, "progress": progress_path, "steps": steps})
+            outcome.steps.append("merge")
+        elif not table.unfinished(commit):
+            return  # merged and published before the stream stopped
+        follow_up(session, load, table, commit, outcome)
         outcome.ended_on = now()
         outcomes.append(outcome)
 

@@ -19,6 +19,7 @@ SHUFFLES = {
     "hash_rejoin": 4, "source_watermark": 1, "config_lookup": 3, "config_watermark_update": 3,
     "process_log": 7, "log_to_json": 7, "log_json_array": 7,
     "string_agg": 1, "merge_upsert_general": 8,
+    "feed_applied": 1, "rank_versions_by_ranges": 8,
 }
 
 
