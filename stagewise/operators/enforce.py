@@ -128,3 +128,11 @@ def cast_projection(spec) -> list[str]:
         target = "string" if group == "timestamp" else group
         expressions.append(f"try_cast({quoted} as {target}) as {quoted}")
     return expressions
+
+
+def typed_projection(spec) -> list[Column]:
+    """The columns of a schema table in its order, cast strictly; timestamp texts are parsed
+    in any of the known formats. Unknown types mean string."""
+    if isinstance(spec, DataFrame):
+        spec = {name: kind for name, kind in spec.collect()}
+    return [strict_cast(column(name), type_group(kind)).alias(name) for name, kind in spec.items()]

@@ -111,11 +111,13 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
 
 
 def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows; None if there is none."""
-    ensure_checkpoint_dir(df.sparkSession)
+    """Keys with more than ``hot_rows`` rows; None if there is none, and then nothing is kept."""
     counts = df.groupBy(*columns(keys)).agg(F.count("*").alias("_versions"))
-    hot = counts.filter(F.col("_versions") > hot_rows).select(*columns(keys)).checkpoint()
-    return None if hot.isEmpty() else hot
+    hot = counts.filter(F.col("_versions") > hot_rows).select(*columns(keys))
+    if hot.isEmpty():
+        return None
+    ensure_checkpoint_dir(df.sparkSession)
+    return hot.checkpoint()
 
 
 def _rank_by_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank_column: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagewise.operators.enforce import typed_projection
 from stagewise.operators.feed import apply_changes
 from stagewise.operators.ranking import rank_versions
 from stagewise.operators.rows import split_to_rows
@@ -153,6 +154,25 @@ def split_at_bars(spark: SparkSession, folder: str) -> DataFrame:
     return split_to_rows(events.select("event_id", text.alias("t")), "t", "||", keep=["event_id"])
 
 
+# A schema table with a column of each type.
+SCHEMA_ROWS = [("order key", "Long"), ("made at", "Timestamp"), ("small-key", "Integer"), ("total.price", "Double"), ("half", "Float"), ("status", "String")]
+
+
+def typed_by_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """All-text orders in the types and order of a schema table; every seventh time is in another format."""
+    key, at = F.col("o_orderkey"), F.timestamp_add("SECOND", (F.col("o_orderkey") % 86400).cast("int"), F.col("o_orderdate"))
+    forms = [F.date_format(at, f"{day}'T'HH:mm:ss'Z'") for day in ("yyyy-MM-dd", "yyyy/MM/dd")]
+    raw = table(spark, folder, "orders").select(
+        key.cast("string").alias("order key"),
+        F.when(key % 7 == 0, forms[1]).otherwise(forms[0]).alias("made at"),
+        (key % 1000).cast("string").alias("small-key"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("total.price"),
+        F.concat((key % 100).cast("string"), F.lit(".5")).alias("half"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    return raw.select(*typed_projection(spark.createDataFrame(SCHEMA_ROWS, "name string, type string")))
+
+
 EVENT_COLUMNS = "event_id, ts, user_id, event_type, value, props"
 MERGED_SQL = f"WITH {EVENTS_SQL} SELECT {EVENT_COLUMNS} FROM ranked WHERE RowN = 1"
 
@@ -190,6 +210,12 @@ QUERIES = {
         looked_up,
         f"WITH {inputs.CONFIG_SQL} SELECT * FROM config WHERE SourceTable = 'Customer#000000007'",
     ),
+    "schema_typed_projection": (
+        typed_by_schema,
+        """SELECT o_orderkey AS "order key", o_orderdate + to_seconds(o_orderkey % 86400) AS "made at",
+                  CAST(o_orderkey % 1000 AS INTEGER) AS "small-key", o_totalprice AS "total.price",
+                  CAST((o_orderkey % 100) + 0.5 AS FLOAT) AS half, o_orderstatus AS status FROM orders""",
+    ),
     "split_at_bars": (
         split_at_bars,
         """SELECT event_id, CAST(i - 1 AS INTEGER) AS position, parts[i] AS part
