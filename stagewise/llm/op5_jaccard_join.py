@@ -10,15 +10,18 @@ above by bit counts, and only pairs that pass are intersected exactly.
 A group of near copies meets under the same keys many times over. It is not expanded
 into pairs: its members are compared with the first member of each key, and after the
 components of those links are known, only members of a group that are still in different
-components are compared, in blocks of bitmaps of bounded size; the one pair of a key that
-two sets have is tested by itself. No link between two components is lost, and pairs
-within one need no test.
+components are compared, in blocks of bounded size: first by bitmaps alone, of which a
+block sends the likeliest pairs that would join its components, then, of what is still
+apart, by the sets of those whose bitmaps leave them a partner, of which it sends the links
+that do. Either way a block sends
+fewer pairs than it has members. The one pair of a key that two sets have is tested by
+itself. No link between two components is lost, and pairs within one need no test.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,10 @@ from stagewise.llm.components import components
 
 #: Members of an undecided group that one block compares: those outside its main component, and all.
 FEW, MANY = 256, 2048
+#: Bytes of sets that either side of a block holds where sets are compared.
+BLOCK_BYTES = 16 << 20
+#: Bits of a bitmap for each item: at eight, pairs that pass without a link are few.
+BITS = 8
 #: One document in so many shows which keys are hot; the tasks over which a hot key is spread.
 SAMPLED, HOT_PARTS = 64, 64
 _PAIRS = "a long, b long"
@@ -113,8 +120,8 @@ def tile_keys(items: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def bitmap(items: np.ndarray) -> bytes:
-    """The set's hashed bitmap: a power of two of bits, at least 64 and twice the items."""
-    width = max(64, 1 << (2 * len(items) - 1).bit_length())
+    """The set's hashed bitmap: a power of two of bits, at least 64 and ``BITS`` times the items."""
+    width = max(64, 1 << (BITS * len(items) - 1).bit_length())
     bits = np.zeros(width, np.uint8)
     bits[(mixed(items) & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -267,64 +274,104 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(_both(pairs, sets, "items").select("a", "b", "items_a", "items_b"), start, _PAIRS)
 
 
+def spanning(left: np.ndarray, right: np.ndarray, score: np.ndarray, accept: Callable[[int], bool] | None = None) -> list[int]:
+    """The edges, best first, that join components not joined yet; ``accept`` tests an edge."""
+    names, flat = np.unique(np.concatenate([left, right]), return_inverse=True)
+    a, b, label = flat[:len(left)], flat[len(left):], np.arange(len(names))
+    chosen, rest = [], np.argsort(-score, kind="stable")
+    while len(rest):
+        rest = rest[label[a[rest]] != label[b[rest]]]
+        some, rest = rest[:256], rest[256:]
+        for i in some.tolist():
+            x, y = label[a[i]], label[b[i]]
+            if x != y and (accept is None or accept(i)):
+                label[label == max(x, y)] = min(x, y)
+                chosen.append(i)
+    return chosen
+
+
+def candidates(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's pairs of rows of different components that bit counts allow to link, and how likely."""
+    few, root, n = (table.column(c).to_numpy() for c in ("few", "root", "n"))
+    bits = table.column("bits").to_pylist()
+    words, found = np.array([len(x) for x in bits]), [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for wa in np.unique(words):
+        for wb in (wa // 2, wa, wa * 2):
+            rows, columns = np.flatnonzero(few & (words == wa)), np.flatnonzero(~few & (words == wb))
+            if not len(rows) or not len(columns):
+                continue
+            a, b = (_folded(_words([bits[i] for i in at]), min(wa, wb) // 8) for at in (rows, columns))
+            step = max(1, (1 << 20) // (len(columns) * a.shape[1]))
+            for s in range(0, len(rows), step):
+                part = rows[s:s + step]
+                total = n[part][:, None] + n[columns][None]
+                most = most_shared(a[s:s + step, None], n[part][:, None], b[None], n[columns][None])
+                x, y = np.nonzero((most * (100 + percent) >= total * percent) & (root[part][:, None] != root[columns][None]))
+                found.append((part[x], columns[y], most[x, y] / total[x, y]))
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
+def block_edges(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a block's ``candidates`` those that would join components, the likeliest first; where
+    the block has ``items``, only true links."""
+    node, root = (table.column(c).to_numpy() for c in ("node", "root"))
+    items = table.column("items").to_pylist() if "items" in table.schema.names else None
+    x, y, score = candidates(table, percent)
+
+    def linked(i: int) -> bool:
+        one, other = (np.frombuffer(items[side[i]], np.uint64) for side in (x, y))
+        same = int((other[np.minimum(np.searchsorted(other, one), len(other) - 1)] == one).sum())
+        return 100 * same >= percent * (len(one) + len(other) - same)
+    chosen = np.array(spanning(root[x], root[y], score, None if items is None else linked), np.int64)
+    return node[x[chosen]], node[y[chosen]]
+
+
+def involved(table: pa.Table, percent: int) -> tuple[np.ndarray, ...]:
+    """The rows of a block that are in one of its ``candidates``."""
+    x, y, _ = candidates(table, percent)
+    rows = np.unique(np.concatenate([x, y]))
+    return tuple(table.column(c).to_numpy()[rows] for c in ("key", "i", "j", "few", "node", "root"))
+
+
 def _undecided(met: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, tested: DataFrame | None) -> DataFrame:
-    """Pairs of a key's members in different components that bit counts allow to link: all
-    of them; or with ``tested``, of a block's pairs between two components the likeliest
-    alone, and the pairs of keys with two members that are not among the tested ones.
-    (Once that is done, every key with two members has had its pair tested.)"""
-    likeliest = tested is not None
+    """Pairs that join members of a key in different components: with ``tested`` the likeliest
+    ones by their bitmaps, which need a test, and the pairs of keys with two members that are
+    not among the tested ones; without it links. (Once the former have been tested, every key
+    with two members has had its pair tested.)"""
+    exact = tested is None
     members = split_join(met.select("key", "node"), roots, ["node"], "left").select(
         "key", "node", F.coalesce("root", "node").alias("root"))
     parts = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(node))").alias("members"), F.min("node").alias("least"))
     groups = parts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"),
                                       F.sum("n").alias("all"), F.count("*").alias("parts"), F.expr("bit_xor(members)").alias("members"),
                                       F.min("least").alias("a"), F.max("least").alias("b")).where("parts > 1")
-    if likeliest:
-        groups = saved(groups.dropDuplicates(["members", "all"]).drop("members", "parts"), "jaccard-groups")
+    groups = saved(groups.dropDuplicates(["members", "all"]).drop("members", "parts"), "jaccard-groups")
+    if not exact:
         two = groups.where("all = 2").select("a", "b").join(tested, ["a", "b"], "left_anti")
-        groups = groups.where("all > 2")
-    else:
-        groups = groups.where("all > 2").dropDuplicates(["members", "all"])
-    groups = groups.select("key", "main", F.ceil((F.col("all") - F.col("most")) / FEW).cast("int").alias("rows"),
-                           F.ceil(F.col("all") / MANY).cast("int").alias("columns"))
-    open_ = split_join(members, groups, ["key"])
+    open_ = split_join(members, groups.where("all > 2").select("key", "main", "most", "all"), ["key"])
+    few_of, many_of = F.lit(FEW), F.lit(MANY)
+    if exact:
+        # Sets of a tile are about as large as one another, so their greatest size tells how many fit.
+        open_ = saved(split_join(open_, sets.select("node", "n"), ["node"]), "jaccard-open")
+        open_ = split_join(open_, open_.groupBy("key").agg(F.max("n").alias("largest")), ["key"]).drop("n")
+        fit = F.greatest(F.lit(1), F.floor(F.lit(BLOCK_BYTES) / (F.col("largest") * 8)))
+        few_of, many_of = F.least(few_of, fit), F.least(many_of, fit)
+    open_ = open_.withColumn("rows", F.ceil((F.col("all") - F.col("most")) / few_of).cast("int")).withColumn("columns", F.ceil(F.col("all") / many_of).cast("int"))
     slot = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), F.col(n)).cast("int")
     few = open_.where("root <> main").select("key", "node", "root", F.lit(True).alias("few"), slot("rows").alias("i"),
                                              F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"))
     many = open_.select("key", "node", "root", F.lit(False).alias("few"),
                         F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), slot("columns").alias("j"))
-    blocks = split_join(few.union(many), sets.select("node", "n", "bits"), ["node"])
-
-    def compare(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        few, node, root, n = (table.column(c).to_numpy() for c in ("few", "node", "root", "n"))
-        bits = table.column("bits").to_pylist()
-        words = np.array([len(x) for x in bits])
-        found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for wa in np.unique(words):
-            for wb in (wa // 2, wa, wa * 2):
-                rows, columns = np.flatnonzero(few & (words == wa)), np.flatnonzero(~few & (words == wb))
-                if not len(rows) or not len(columns):
-                    continue
-                a, b = (_folded(_words([bits[i] for i in at]), min(wa, wb) // 8) for at in (rows, columns))
-                step = max(1, (1 << 20) // (len(columns) * a.shape[1]))
-                for s in range(0, len(rows), step):
-                    part = rows[s:s + step]
-                    total = n[part][:, None] + n[columns][None]
-                    most = most_shared(a[s:s + step, None], n[part][:, None], b[None], n[columns][None])
-                    x, y = np.nonzero((most * (100 + percent) >= total * percent) & (root[part][:, None] != root[columns][None]))
-                    if likeliest and len(x):
-                        left, right = root[part[x]], root[columns[y]]
-                        order = np.lexsort((-most[x, y] / total[x, y], right, left))
-                        left, right = left[order], right[order]
-                        first = np.concatenate([[True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])])
-                        x, y = x[order][first], y[order][first]
-                    found[0].append(node[part[x]])
-                    found[1].append(node[columns[y]])
-        return np.concatenate(found[0]), np.concatenate(found[1])
-
-    found = sorted_tiles(blocks.select("key", "i", "j", "few", "node", "root", "n", "bits"), ["key", "i", "j"], compare, _PAIRS).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return (found.union(_bounded(two, sets, percent)) if likeliest else found).distinct()
+    least_first = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    blocks = split_join(few.union(many), sets.select("node", "n", "bits"), ["node"]).select("key", "i", "j", "few", "node", "root", "n", "bits")
+    if not exact:
+        found = sorted_tiles(blocks, ["key", "i", "j"], lambda table: block_edges(table, percent), _PAIRS)
+        return found.select(*least_first).union(_bounded(two, sets, percent)).distinct()
+    # Sets are sent for rows alone that bit counts leave a partner.
+    rows = saved(sorted_tiles(blocks, ["key", "i", "j"], lambda table: involved(table, percent),
+                              "key long, i int, j int, few boolean, node long, root long"), "jaccard-involved")
+    full = split_join(rows, sets.select("node", "n", "bits", "items"), ["node"])
+    return sorted_tiles(full, ["key", "i", "j"], lambda table: block_edges(table, percent), _PAIRS).select(*least_first).distinct()
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) -> DataFrame:
@@ -363,10 +410,11 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
     sets = saved(_signatures(docs.join(wanted, ["did", "th"]).dropDuplicates(["node"]), shingle), "jaccard-signatures")
     links = saved(_linked(_bounded(pairs, sets, percent), sets, percent), "jaccard-links")
     roots = components(links, "jaccard-components")
-    # The likeliest pair of two components mostly joins them; what is left apart is then
-    # tested in full, so that no link is missed.
+    # The likeliest pairs mostly join components; what is left apart is then compared by its
+    # sets, so that no link is missed.
     for tested in (pairs, None):
-        more = saved(_linked(_undecided(met, roots, sets, percent, tested), sets, percent), "jaccard-links")
+        more = _undecided(met, roots, sets, percent, tested)
+        more = saved(more if tested is None else _linked(more, sets, percent), "jaccard-links")
         if not more.isEmpty():
             links = links.union(more)
             roots = components(links, "jaccard-components")
