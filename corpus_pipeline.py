@@ -2,7 +2,9 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes each
 stage's rows as Parquet and gives them to the next. All stages but the last return the
-columns of ``documents``.
+columns of ``documents``, and columns beside these are dropped. An empty table gives an
+empty one in every stage. Rows with null ids, null languages or null sources are judged by
+their texts like others.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorization machine does not call toxic."""
+    """Documents that the factorization machine does not call toxic. Null and empty texts have
+    no terms and stay (unless most labelled documents are toxic); repeated rows stay as often."""
     small_batches(spark)
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score_documents(docs.select(*COLUMNS), model).where("predicted = 0").select(*COLUMNS)
@@ -52,7 +55,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 35 words that stand elsewhere too; the texts of
-    others stay as they are, with their white space."""
+    others stay as they are, with their white space. A text that is all repeated becomes
+    empty, a null one stays null, repeated rows lose their passages each."""
     gone = remove_repeats(docs).where("size(spans) > 0").groupBy("did", "th").agg(F.first("kept").alias("kept"))
     keyed = _keyed(docs).join(gone, ["did", "th"], "left")
     text = F.coalesce("kept", "text")
@@ -61,7 +65,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with less than one word in twenty inside windows of benchmark items."""
+    """Documents with less than one word in twenty inside windows of benchmark items. Null and
+    empty texts have no words and stay, repeated rows stay or go together."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = found_windows(identified(docs), items)
     bad = found.where("n_hit > 0 and n_hit * 20 >= n_words").select("did", "th").distinct()
@@ -69,7 +74,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids and whether these decode to the text again."""
+    """The documents with their token ids and whether these decode to the text again; row for
+    row, null and empty texts with none."""
     return encode_texts(docs.select(*COLUMNS))
 
 

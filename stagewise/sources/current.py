@@ -117,9 +117,7 @@ class CurrentTable:
 
     def _bucketed_table(self, commit: Commit, live: Iterable[str]) -> str:
         """A catalog table over exactly the partitions of the version folders that hold these files."""
-        partitions = sorted({file.rsplit("/", 1)[0] for file in live})
-        about = json.dumps([self.root, commit.ddl, commit.keys, commit.buckets, partitions])
-        name = f"current_{hashlib.md5(about.encode()).hexdigest()}"
+        name, partitions = self._bucketed_name(commit, live)
         if not self.spark.catalog.tableExists(name):
             clustering = ",".join(quoted(key) for key in commit.keys)
             tags = ", ".join(f"{tag} {kind}" for tag, kind in TAGS.items())
@@ -134,6 +132,11 @@ class CurrentTable:
             self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({spec})" for spec in specs))
         return name
 
+    def _bucketed_name(self, commit: Commit, live: Iterable[str]) -> tuple[str, list[str]]:
+        partitions = sorted({file.rsplit("/", 1)[0] for file in live})
+        about = json.dumps([commit.ddl, commit.keys, commit.buckets, partitions])
+        return f"current_{self._root_hash()}_{hashlib.md5(about.encode()).hexdigest()[:16]}", partitions
+
     def _tagged(self, path: str, ddl: str) -> DataFrame:
         """One version folder with its tags."""
         tags = ", ".join(f"{tag} {kind}" for tag, kind in TAGS.items())
@@ -300,11 +303,18 @@ class CurrentTable:
         for path in stale:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog_name(path)}")
             self._versions.remove(path)
+        # Catalog entries are made anew where a reader needs them; those of whole kept commits may be in views.
+        whole = {self._bucketed_name(c, [f for files in c.files.values() for f in files])[0] for c in kept if c.files is not None}
+        for table in self.spark.catalog.listTables(pattern=f"current_{self._root_hash()}_*"):
+            if table.name not in whole:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table.name}")
         return len(stale)
 
+    def _root_hash(self) -> str:
+        return hashlib.md5(self.root.encode()).hexdigest()[:12]
+
     def _catalog_name(self, path: str) -> str:
-        root = hashlib.md5(self.root.encode()).hexdigest()[:12]
-        return f"version_{root}_{path.rsplit('/', 1)[1].removeprefix('_version=')}"
+        return f"version_{self._root_hash()}_{path.rsplit('/', 1)[1].removeprefix('_version=')}"
 
 
 _writes: dict[int, tuple[int, str | None]] = {}
