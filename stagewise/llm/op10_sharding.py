@@ -76,7 +76,7 @@ def shard_rows(df: DataFrame, shards: int, number: str = "row_number", total: in
 
     return (df.withColumn("_place", place(number))
             .withColumn("shard", (F.col("_place") % shards).cast("int"))
-            .withColumn("slot", F.floor(F.col("_place") / F.lit(shards)) if n > 2**52 else F.expr(f"_place div {shards}"))
+            .withColumn("slot", F.expr(f"_place div {shards}"))
             .drop("_place"))
 
 
