@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
+from functools import reduce
 
 import ahocorasick
 import numpy as np
@@ -11,11 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewise.llm.base import doc_id_of, identified, map_batches, small_batches
+from stagewise.llm.base import doc_id_of, identified, map_batches, saved, small_batches
 
 WINDOW = 13
-#: Windows held by one automaton; more items are matched in several scans (about 3 kB each).
+#: Windows held by one automaton, about; more are matched in several scans.
 AUTOMATON_WINDOWS = 200_000
+#: Windows of an item in one batch of rows.
+CUT_ROWS = 10_000
 #: Bytes of words: digits, letters (lower-cased) and all of the non-ASCII; the rest separates.
 _WORDS = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -74,26 +76,38 @@ def scan(text: bytes, machine: ahocorasick.Automaton) -> tuple[int, list[tuple[i
 def found_windows(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Hits of each document: counts, item ids, and spans by word and by original byte.
 
-    ``docs`` is ``identified``. The benchmark's texts go to the driver in groups of
-    bounded size and each group's automaton to the tasks; documents are only scanned.
+    ``docs`` is ``identified``. Windows are cut in tasks and dealt into groups of about
+    ``AUTOMATON_WINDOWS`` by their hash, whatever item they come from; the driver holds one
+    group at a time, which is broadcast, and documents are scanned once for each.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     listed = items.where("item_id is not null and text is not null").select(
-        F.col("item_id").cast("string"), F.col("text").cast("binary"))
-    groups, now = [], []
-    room = 0
-    for item, text in listed.toLocalIterator():
-        n = len(words_of(bytes(text)))
-        if now and room + n > AUTOMATON_WINDOWS:
-            groups.append(now)
-            now, room = [], 0
-        now.append((item, bytes(text)))
-        room += n
-    groups.append(now)
-
-    def make(group):
+        F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text"))
+
+    def cut():
+        def work(batch: pa.RecordBatch):
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
+                windows = list(item_windows([(item, text)], window))
+                for at in range(0, len(windows), CUT_ROWS):
+                    some = windows[at:at + CUT_ROWS]
+                    yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([item] * len(some), pa.string())], names=["window", "item"])
+        return work
+    windows = map_batches(listed, cut, "window string, item string").distinct()
+    parts = max(1, -(-windows.count() // AUTOMATON_WINDOWS))
+    if parts > 1:
+        windows = saved(windows, "item-windows")
+
+    def group(part: int) -> dict[str, list[str]]:
+        found: dict[str, list[str]] = {}
+        own = windows.where(F.pmod(F.xxhash64("window", "item"), F.lit(parts)) == part).toArrow()
+        for text, item in zip(own.column("window").to_pylist(), own.column("item").to_pylist()):
+            found.setdefault(text, []).append(item)
+        return found
+
+    def make(shared):
         def start():
-            machine = automaton(item_windows(group, window))
+            machine = automaton(shared.value)
 
             def work(batch: pa.RecordBatch):
                 n_words, n_hit, ids, spans, places = [], [], [], [], []
@@ -113,13 +127,12 @@ def found_windows(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
             return work
         return start
 
-    scans = [map_batches(docs, make(group), FOUND) for group in groups]
-    if len(scans) == 1:
-        return scans[0]
-    # Several automata: the spans of a document are merged again. Equal rows stay apart by number.
-    every = scans[0]
-    for one in scans[1:]:
-        every = every.union(one)
+    send = lambda part: make(spark.sparkContext.broadcast(group(part)))
+    if parts == 1:
+        return map_batches(docs, send(0), FOUND)
+    # Several automata: the spans of a document are merged again; equal documents have equal ones.
+    scans = [saved(map_batches(docs, send(part), FOUND).dropDuplicates(["did", "th"]), "item-hits") for part in range(parts)]
+    every = reduce(DataFrame.union, scans)
     merge = """aggregate(array_sort(flatten(collect_list({0}))), cast(array() as array<struct<start:int,end:int>>), (m, s) ->
       if(size(m) > 0 and s.start <= element_at(m, -1).end + {1}, concat(slice(m, 1, size(m) - 1),
         array(named_struct('start', element_at(m, -1).start, 'end', greatest(s.end, element_at(m, -1).end)))), concat(m, array(s))))"""
