@@ -24,6 +24,8 @@ from stagewise.llm.base import map_batches, saved, shared_folder, small_batches,
 
 #: Payloads of fewer bytes are always stored; records of one archive at most.
 SMALLEST, RECORDS = 1000, 1000
+#: Captures of the index that one task merges, about.
+RANGE_ROWS = 100_000
 #: Pages carry no time of capture: it is taken from the id, as seconds after this.
 EPOCH, SPAN = datetime(2000, 1, 1), 10**9
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -169,11 +171,13 @@ def loser_merge(runs: list[list[tuple]]) -> Iterator[tuple]:
 def merged_index(captures: DataFrame) -> DataFrame:
     """All captures with ``capture_rank``, their place by url_key, time and page id.
 
-    Ranges are of key, time and id, so the captures of one URL may fill several. A range
-    holds about 100 bytes a capture; the driver sees one count per range.
+    Ranges are of key, time and id, so the captures of one URL may fill several. There are so
+    many that a task holds about ``RANGE_ROWS`` captures, of 1 kB each as Python's rows; the
+    driver sees one count per range.
     """
     spark = captures.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    captures = saved(captures, "warc-captures")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-captures.count() // RANGE_ROWS))
     names = captures.columns
     order = ["url_key", "captured", "page_id"]
     ranged = captures.repartitionByRange(n, *order).sortWithinPartitions("run", *order)
