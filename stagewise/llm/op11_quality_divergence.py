@@ -91,8 +91,8 @@ def _common_words(docs: DataFrame) -> DataFrame:
         return work
     counts = saved(map_batches(docs.select("lang", "text"), start, "lang string, word long, n long").groupBy("lang", "word")
                    .agg(F.sum("n").alias("n")), "quality-words")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    large = totals.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("all")))).where(F.col("total") * LANGUAGE_SHARE >= F.col("all"))
+    every = counts.agg(F.sum("n")).first()[0] or 0
+    large = counts.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") * LANGUAGE_SHARE >= every)
     # At most LANGUAGE_SHARE rows.
     return counts.join(F.broadcast(large.select("lang", "total")), "lang").where(F.col("n") * WORD_SHARE >= F.col("total")).select("lang", "word")
 
