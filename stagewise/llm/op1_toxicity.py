@@ -13,12 +13,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewise.llm.base import WORD_MEMORY, kept_in_process, map_batches, small_batches, with_fields
+from stagewise.llm.base import WORD_MEMORY, map_batches, saved, small_batches, with_fields
 
 #: Features (a power of two), length of their vectors, letters of a word's beginning.
 FEATURES, FACTORS, BEGINNING = 1 << 18, 8, 5
+#: Longer words are not remembered.
+LONGEST = 64
 #: The classifier is fitted on so many labelled documents at most: those whose id hashes lowest.
 SAMPLE = 20_000
+#: Bytes of features that the sample may have; the task that fits holds them.
+SAMPLE_BYTES = 256 << 20
 EPOCHS, BATCH, RATE, RATE_PAIRS, DECAY = 40, 128, 0.1, 0.02, 1e-5
 #: Standard deviations from chance that a feature's share of toxic documents must differ.
 CHANCE = 4.5
@@ -27,7 +31,8 @@ _LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 el
 
 
 class Terms(dict):
-    """A word's two features in one number, remembered within ``WORD_MEMORY`` words."""
+    """A word's two features in one number, remembered within a task for ``WORD_MEMORY`` words of
+    ``LONGEST`` bytes at most."""
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -36,7 +41,9 @@ class Terms(dict):
             self.clear()
         whole = xxhash.xxh3_64_intdigest(word, 1) % FEATURES
         begin = xxhash.xxh3_64_intdigest(word[:BEGINNING], 2) % FEATURES if len(word) > BEGINNING else whole
-        value = self[word] = whole << 32 | begin
+        value = whole << 32 | begin
+        if len(word) <= LONGEST:
+            self[word] = value
         return value
 
     def features(self, text: bytes) -> np.ndarray:
@@ -112,33 +119,43 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[float, np.ndarray, np.ndarray]:
     """Fit on at most ``sample`` labelled documents that are not held out.
 
-    Documents are turned into features where they are read, gathered in one task (about
-    10 kB each) and fitted there; the driver gets the model alone (9 MB). Null labels,
+    These are the ones whose ids hash lowest, as far as their features fit into
+    ``SAMPLE_BYTES`` together. Documents are turned into features where they are read, one
+    row for each id is kept, and these rows meet in one task, where the model is fitted;
+    the driver gets the ids and sizes of the sample and the model (9 MB). Null labels,
     ids and texts are left out; of several labels of an id the largest counts, and of
-    several texts any one.
+    several texts the one whose features come first.
     """
+    named = docs.where("text is not null").select("doc_id", "text")
     chosen = (labels.where("toxic is not null and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    texts = docs.where("text is not null").select("doc_id", F.col("text").cast("binary").alias("text")).join(chosen, "doc_id")
+              .join(named.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toArrow())
+    ids, toxic = (chosen.column(c).to_numpy() for c in ("doc_id", "toxic"))
+    order = np.argsort(ids)
 
     def start():
-        terms = kept_in_process("terms", Terms)
+        terms, wanted = Terms(), ids[order]
 
         def work(batch: pa.RecordBatch):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("toxic"), pa.array([terms.features(t.as_py()).astype(np.int32).tobytes() for t in batch.column("text")], pa.binary())],
-                names=["doc_id", "toxic", "features"])
+            if not len(wanted):
+                return
+            own = batch.column("doc_id").fill_null(0).to_numpy()
+            mine = wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own
+            batch = batch.filter(pa.array(mine & batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)))
+            found = [terms.features(t.as_py()).astype(np.int32).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], names=["doc_id", "features"])
         return work
-    counted = map_batches(texts, start, "doc_id long, toxic int, features binary")
+    texts = named.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    counted = saved(map_batches(texts, start, "doc_id long, features binary").groupBy("doc_id").agg(F.min("features").alias("features")), "toxicity-sample")
+    sizes = dict(zip(*(counted.select("doc_id", F.octet_length("features").alias("n")).toArrow().column(c).to_pylist() for c in ("doc_id", "n"))))
+    fits = np.cumsum([sizes.get(i, 0) for i in ids.tolist()]) <= SAMPLE_BYTES
+    label_of = dict(zip(ids[fits].tolist(), toxic[fits].tolist()))
 
     def learn(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("features", "ascending")])
-        ids = table.column("doc_id").to_numpy()
-        table = table.filter(pa.array(np.concatenate([[True], ids[1:] != ids[:-1]])))
-        features = [np.frombuffer(x.as_py(), np.int32) for x in table.column("features")]
-        bias, weights, vectors = fit(features, table.column("toxic").to_numpy().astype(np.float64))
+        table = table.sort_by("doc_id")
+        kept = [(label_of[i], np.frombuffer(x, np.int32)) for i, x in zip(table.column("doc_id").to_pylist(), table.column("features").to_pylist()) if i in label_of]
+        bias, weights, vectors = fit([x for _, x in kept], np.array([y for y, _ in kept], np.float64))
         return pa.table({"bias": [bias], "weights": pa.array([weights.tobytes()], pa.binary()), "vectors": pa.array([vectors.tobytes()], pa.binary())})
-    row = counted.withColumn("every", F.lit(0)).groupBy("every").applyInArrow(learn, "bias double, weights binary, vectors binary").first()
+    row = counted.withColumn("every", F.lit(0)).groupBy("every").applyInArrow(learn, "bias double, weights binary, vectors binary").first() if label_of else None
     if row is None:
         return fit([], np.zeros(0))
     return row.bias, np.frombuffer(row.weights, np.float32), np.frombuffer(row.vectors, np.float32).reshape(FEATURES, FACTORS)
@@ -156,7 +173,7 @@ def score_documents(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray]
     schema = with_fields(docs, "score double, predicted int")
 
     def start():
-        terms, (bias, weights, vectors) = kept_in_process("terms", Terms), shared.value
+        terms, (bias, weights, vectors) = Terms(), shared.value
 
         def work(batch: pa.RecordBatch):
             found = [terms.features(t.encode()) if t else np.zeros(0, np.int64) for t in batch.column("text").to_pylist()]
