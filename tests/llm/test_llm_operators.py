@@ -366,3 +366,24 @@ def test_pipeline_stages(spark):
                 gone = {p for a in range(len(ws) - 34) if seen[tuple(ws[a:a + 35])] > 1 for p in range(a, a + 35)}
                 assert text == (" ".join(w.decode() for p, w in enumerate(ws) if p not in gone) if gone else before[i])
     assert all(r.round_trip for r in docs.collect())
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    """Nulls, empty and long texts, repeated rows and clashing columns in every stage, and no rows at all."""
+    import corpus_pipeline
+
+    rows, wide = odd_documents(spark)
+    every = Counter(rows)
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, wide, FOLDER)
+        if name != "sentencepiece":
+            assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        found = Counter((r.doc_id, r.text) for r in got.collect())
+        if name == "ngram_jaccard_join":  # a repeated row leaves one, of near copies the least id stays
+            assert found == Counter({row for row in rows if row[0] != 6})
+        elif name == "substring_dedup":
+            assert sum(found.values()) == len(rows) and all(found[row] == n for row, n in every.items() if row[0] not in (5, 6))
+        else:
+            assert found == every, name
+        empty = stage(spark, wide.limit(0), FOLDER)
+        assert empty.columns == got.columns and empty.count() == 0

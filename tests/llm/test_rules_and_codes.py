@@ -3,12 +3,18 @@
 import hashlib
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stagewise.llm import integers as ints
+from stagewise.llm import op1_toxicity as op1
+from stagewise.llm import op5_jaccard_join as op5
+from stagewise.llm import op7_html_extraction as op7
+from stagewise.llm import op10_sharding as op10
 from stagewise.llm import op11_quality_divergence as op11
 from stagewise.llm import op12_bisector_clusters as op12
 from stagewise.llm import op13_norm_of_sum_codes as op13
@@ -196,3 +202,118 @@ def test_sums_of_any_size():
     for x in (0, 1, -1, 2**62, -(2**62), 2**200 + 5, -(2**200) - 7, 2**61 - 1):
         got = sum(n * 2**(62 * d) for batch in ints.digit_rows({3: x}) for d, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
         assert got == x
+
+
+def near_copies(n, words=80, seed=9):
+    rnd = random.Random(seed)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(words)]
+    texts = []
+    for _ in range(n):
+        copy = list(base)
+        for _ in range(rnd.randrange(1, 5)):
+            copy[rnd.randrange(words)] = f"e{rnd.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    return texts
+
+
+def shingle_sets(texts, k=3):
+    return [{tuple(t.split()[i:i + k]) for i in range(len(t.split()) - k + 1)} for t in texts]
+
+
+def test_block_edges_join_what_links():
+    """A block's links connect exactly what links across it connect, and are no more than it needs."""
+    texts = near_copies(60) + near_copies(40, seed=10)
+    shingles = op5.Shingles(3)
+    items = list(shingles.of(pa.array([t.encode() for t in texts])))
+    node, n = np.arange(len(texts)), np.array([len(x) for x in items])
+    few = np.arange(len(texts)) % 2 == 0
+    root = np.where(node < 6, 0, node)
+    columns = {"few": few, "node": node, "root": root, "n": n, "bits": [op5.bitmap(x) for x in items]}
+    sets = [set(x.tolist()) for x in items]
+    links = [(i, j) for i in node for j in node if few[i] and not few[j] and root[i] != root[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+
+    def joined(edges):
+        label = root.copy()
+        for a, b in edges:
+            label[label == max(label[a], label[b])] = min(label[a], label[b])
+        return label.tolist()
+    a, b = op5.block_edges(pa.table({**columns, "items": [x.tobytes() for x in items]}), 75)
+    assert set(zip(a.tolist(), b.tolist())) <= set(links) and joined(zip(a, b)) == joined(links)
+    assert len(a) < len(texts) and len(links) > 2 * len(a)
+    likely, other = op5.block_edges(pa.table(columns), 75)
+    assert len(likely) < len(texts) and len(set(joined(zip(likely, other)))) <= len(set(joined(links)))
+
+
+def test_jaccard_sends_edges_in_proportion(spark, monkeypatch):
+    made, undecided = [], op5._undecided
+
+    def counted(*args):
+        found = undecided(*args).cache()
+        made[-1] += found.count()
+        return found
+    monkeypatch.setattr(op5, "_undecided", counted)
+    for n in (100, 200, 400):
+        texts, sets = near_copies(n), None
+        made.append(0)
+        df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], DOCS)
+        got = {r.did: r.component_id for r in op5.jaccard_components(df).collect()}
+        sets, root = shingle_sets(texts), list(range(n))
+        for i in range(n):
+            for j in range(i):
+                if root[i] != root[j] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+                    root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+        assert got == dict(enumerate(root))
+    assert made[2] <= 6 * max(made[0], 50), made
+
+
+@pytest.mark.parametrize("html", [
+    "<a " * 350_000, "<div>" * 200_000 + "x", "<span hidden>" * 80_000, "<span hidden><div>x" * 50_000 + "</span>", "<script " * 120_000,
+    "<! " * 300_000, "<a \"" * 250_000, "<a<a" * 250_000, "<a " + "x" * 1_000_000 + ">", "<div>" * 100_000 + "</p>" * 100_000, "<nav>" + "<article>" * 30_000,
+], ids=["tags", "nested", "hidden", "reopened", "scripts", "declarations", "quotes", "names", "attribute", "ends", "articles"])
+def test_broken_pages_take_no_longer(html):
+    """A megabyte of anything is read in seconds; a second look at each rest of the page would take hours."""
+    start = time.process_time()
+    op7.page_blocks(html)
+    assert time.process_time() - start < 10
+
+
+def test_html_columns_of_any_name(spark):
+    page = "<nav>menu</nav><article><p>Body</p></article>"
+    df = spark.createDataFrame([(1, "http://a.b/c", page, "h", "u", "p", "r", 7, "old")],
+                               "page_id long, url string, html string, _host string, _url string, path string, _row string, `host` int, text string")
+    got = op7.extract_pages(df.withColumnRenamed("path", "a.path"))
+    assert got.columns == ["page_id", "url", "html", "_host", "_url", "a.path", "_row", "host", "text"]
+    assert tuple(got.first()) == (1, "http://a.b/c", page, "h", "u", "p", "r", 7, "Body")
+
+
+def test_slots_beyond_exact_doubles(spark):
+    """Whole division of long row numbers, where doubles would round."""
+    n, shards = 2**60 + 2, 39
+    rows = [0, 1, 2**60 + 1, 2**59 + 12345]
+    got = {r.row_number: (r.shard, r.slot) for r in op10.shard_rows(spark.createDataFrame([(x,) for x in rows], "row_number long"), shards, total=n).collect()}
+    assert got == {x: (int(p) % shards, int(p) // shards) for x, p in zip(rows, op10.permute(np.array(rows), n).tolist())}
+
+
+def test_toxicity_sample_is_bounded(spark, monkeypatch):
+    """A labelled id of very many rows counts once, ids without a document not at all, and bytes are bounded."""
+    rows = [(1, f"good words here {i % 3}") for i in range(300)] + [(i, "bad insult" if i % 2 else "kind words") for i in range(2, 60)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, features string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2 if i < 60 else 1) for i in range(1, 2000)] + [(3, None), (None, 1)], "doc_id long, toxic int")
+    seen, fit = [], op1.fit
+    monkeypatch.setattr(op1, "fit", lambda features, y, seed=7: fit(features, y, seed))
+    model = op1.train(docs, labels, sample=40)
+    again = op1.train(docs.repartition(7), labels, sample=40)
+    assert model[0] == again[0] and (model[1] == again[1]).all() and (model[1] != 0).any()
+    monkeypatch.setattr(op1, "SAMPLE_BYTES", 0)
+    none = op1.train(docs, labels)
+    assert not none[1].any() and not seen
+
+
+def test_scores_equal_a_double_loop():
+    rnd = np.random.default_rng(3)
+    weights, vectors = rnd.standard_normal(50).astype(np.float32), rnd.standard_normal((50, 4)).astype(np.float32)
+    docs = [np.unique(rnd.integers(0, 50, n)) for n in (0, 1, 2, 9, 30, 0)]
+    sizes = np.array([len(d) for d in docs])
+    raw, _ = op1._scores(weights, vectors, 0.25, np.concatenate(docs), np.cumsum(sizes) - sizes)
+    slow = [0.25 + sum(float(weights[i]) for i in d) + sum(float(vectors[i].astype(float) @ vectors[j].astype(float)) for k, i in enumerate(d) for j in d[k + 1:]) for d in docs]
+    assert np.allclose(raw, slow)
