@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import sys
 import tempfile
 import types
@@ -91,9 +92,12 @@ def with_fields(df: DataFrame, ddl: str) -> StructType:
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]],
-                schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with one state per task: ``make()`` gives the function for its batches."""
+                schema: str | StructType, keeps: bool = False) -> DataFrame:
+    """``mapInArrow`` with one state per task: ``make()`` gives the function for its batches.
+    A worker lets go of what earlier tasks left in it, unless ``make`` uses that (``keeps``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            let_go()
         work = make()
         for batch in batches:
             if batch.num_rows:
@@ -102,19 +106,30 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Ite
 
 
 def kept_in_process(key: object, make: Callable[[], object]) -> object:
-    """The value of ``make()``, made once per Python worker and reused by its later tasks."""
-    state = sys.modules.setdefault("_stagewise_llm_state", types.ModuleType("_stagewise_llm_state")).__dict__
+    """The value of ``make()``, made once per Python worker and reused by its later tasks, until
+    another key is asked for or a task of another kind begins there."""
+    state = sys.modules.setdefault("_stagewise_llm_state", types.ModuleType("_stagewise_llm_state")).__dict__.setdefault("kept", {})
     if key not in state:
+        state.clear()
         state[key] = make()
     return state[key]
 
 
+def let_go() -> None:
+    """Free what ``kept_in_process`` holds, so that a worker of one stage leaves its memory to the next."""
+    module = sys.modules.get("_stagewise_llm_state")
+    if module is not None and module.__dict__.pop("kept", None):
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def sorted_tiles(df: DataFrame, keys: list[str], one: Callable[[pa.Table], tuple], schema: str) -> DataFrame:
     """Apply ``one`` to the rows of each key (two or more), of bounded number, and gather its
     columns. Tasks hold one tile at a time, without a call to Spark for each."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
+        let_go()
         held = None
         for batch in _then_none(batches):
             if batch is not None:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewise.llm.base import WORD_MEMORY, map_batches, saved, small_batches, with_fields
+from stagewise.llm.base import WORD_MEMORY, let_go, map_batches, saved, small_batches, with_fields
 
 #: Features (a power of two), length of their vectors, letters of a word's beginning.
 FEATURES, FACTORS, BEGINNING = 1 << 18, 8, 5
@@ -24,6 +24,8 @@ SAMPLE = 20_000
 #: Bytes of features that the sample may have; the task that fits holds them.
 SAMPLE_BYTES = 256 << 20
 EPOCHS, BATCH, RATE, RATE_PAIRS, DECAY = 40, 128, 0.1, 0.02, 1e-5
+#: Documents whose features are counted at a time before the fit.
+COUNTED = 512
 #: Standard deviations from chance that a feature's share of toxic documents must differ.
 CHANCE = 4.5
 #: Words: ASCII letters (lower-cased), apostrophes dropped, and everything non-ASCII.
@@ -76,9 +78,12 @@ def fit(features: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> tuple[
     if not 0 < labels.sum() < len(labels):
         return bias, weights, np.zeros_like(vectors)
     # Features whose share among toxic documents is no more than chance stay out of the model.
-    every, sizes = np.concatenate(features), [len(x) for x in features]
-    seen = np.bincount(every, minlength=FEATURES)
-    toxic = np.bincount(every, np.repeat(labels, sizes), minlength=FEATURES)
+    seen, toxic = np.zeros(FEATURES, np.int64), np.zeros(FEATURES)
+    for a in range(0, len(features), COUNTED):
+        part = features[a:a + COUNTED]
+        every = np.concatenate(part)
+        seen += np.bincount(every, minlength=FEATURES)
+        toxic += np.bincount(every, np.repeat(labels[a:a + COUNTED], [len(x) for x in part]), minlength=FEATURES)
     spread = np.sqrt(np.maximum(seen * share * (1 - share) * (1 - seen / len(labels)), 1e-9))
     often = (seen >= 3) & (np.abs(toxic - seen * share) >= CHANCE * spread)
     features = [x[often[x]] for x in features]
@@ -151,8 +156,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[flo
     label_of = dict(zip(ids[fits].tolist(), toxic[fits].tolist()))
 
     def learn(table: pa.Table) -> pa.Table:
-        table = table.sort_by("doc_id")
-        kept = [(label_of[i], np.frombuffer(x, np.int32)) for i, x in zip(table.column("doc_id").to_pylist(), table.column("features").to_pylist()) if i in label_of]
+        let_go()
+        own, found = table.column("doc_id").to_numpy(), table.column("features")
+        # The features stay where Arrow has them: no second copy of the sample in its one task.
+        kept = [(label_of[i], np.frombuffer(found[k].as_buffer(), np.int32)) for k, i in sorted(enumerate(own.tolist()), key=lambda x: x[1]) if i in label_of]
         bias, weights, vectors = fit([x for _, x in kept], np.array([y for y, _ in kept], np.float64))
         return pa.table({"bias": [bias], "weights": pa.array([weights.tobytes()], pa.binary()), "vectors": pa.array([vectors.tobytes()], pa.binary())})
     row = counted.withColumn("every", F.lit(0)).groupBy("every").applyInArrow(learn, "bias double, weights binary, vectors binary").first() if label_of else None

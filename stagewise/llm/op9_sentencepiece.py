@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from stagewise.llm.base import kept_in_process, map_batches, small_batches, with_fields
 
 #: Words whose ids a task remembers, and characters indexed by one suffix array.
-MEMORY, INDEXED = 800_000, 250_000
+MEMORY, INDEXED = 400_000, 250_000
 #: Slots of the table of pairs that may follow each other, as a power of two.
 SLOT_BITS = 21
 SPACE = "▁"
@@ -118,7 +118,7 @@ class Pieces:
         key = before << 20 | piece
         known = self.follows.get(key)
         if known is None:
-            if len(self.follows) > 2_000_000:
+            if len(self.follows) > MEMORY:
                 self.follows.clear()
             pair = [self.pieces[i][0] for i in (before, piece) if i >= 0]
             # Pieces that are their own merge result stay apart unless something merges across.
@@ -297,7 +297,7 @@ def encode_texts(df: DataFrame, path: str | None = None, text: str = "text") ->
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.ListArray.from_arrays(gaps, flat), same], names=[*batch.schema.names, "ids", "round_trip"])
         return work
-    return map_batches(df, start, schema)
+    return map_batches(df, start, schema, keeps=True)
 
 
 def decode_ids(df: DataFrame, path: str | None = None, ids: str = "ids") -> DataFrame:
@@ -313,7 +313,7 @@ def decode_ids(df: DataFrame, path: str | None = None, ids: str = "ids") -> Data
             texts = [None if x is None else pieces.decode(np.array(x, np.int32)) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
         return work
-    return map_batches(df, start, with_fields(df, "decoded string"))
+    return map_batches(df, start, with_fields(df, "decoded string"), keeps=True)
 
 
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,12 +4,15 @@ import hashlib
 import math
 import random
 import time
+import tracemalloc
+import weakref
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
+from stagewise.llm import base
 from stagewise.llm import integers as ints
 from stagewise.llm import op1_toxicity as op1
 from stagewise.llm import op5_jaccard_join as op5
@@ -317,3 +320,44 @@ def test_scores_equal_a_double_loop():
     raw, _ = op1._scores(weights, vectors, 0.25, np.concatenate(docs), np.cumsum(sizes) - sizes)
     slow = [0.25 + sum(float(weights[i]) for i in d) + sum(float(vectors[i].astype(float) @ vectors[j].astype(float)) for k, i in enumerate(d) for j in d[k + 1:]) for d in docs]
     assert np.allclose(raw, slow)
+
+
+def test_workers_let_go_of_kept_tables():
+    """A task of another kind frees what an earlier stage kept in its worker; one of the same kind finds it."""
+    class Kept:
+        pass
+
+    class InThisProcess:
+        def mapInArrow(self, run, schema):
+            return list(run(iter([pa.RecordBatch.from_pydict({"x": [1]})])))
+
+    made, seen = [], []
+
+    def table():
+        kept = base.kept_in_process("table", Kept)
+        made.append(weakref.ref(kept))
+        return lambda batch: [batch]
+
+    def other():
+        seen.append(made[0]() is None)
+        return lambda batch: [batch]
+
+    for _ in range(2):
+        base.map_batches(InThisProcess(), table, "x long", keeps=True)
+    assert made[0]() is made[1]() is not None
+    base.map_batches(InThisProcess(), other, "x long")
+    assert seen == [True]
+
+
+def test_fit_counts_in_bounded_memory():
+    """Features are counted some documents at a time: the fit needs less than the sample's own size beside it."""
+    rnd = np.random.default_rng(1)
+    features = [rnd.integers(0, op1.FEATURES, 5000).astype(np.int32) for _ in range(6000)]
+    labels = (rnd.random(6000) < 0.3).astype(np.float64)
+    tracemalloc.start()
+    try:
+        op1.fit(features, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < sum(x.nbytes for x in features)
