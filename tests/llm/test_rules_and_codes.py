@@ -361,3 +361,42 @@ def test_fit_counts_in_bounded_memory():
     finally:
         tracemalloc.stop()
     assert peak < sum(x.nbytes for x in features)
+
+
+def test_style_tree_by_brute_force(spark):
+    """Both entropies of each style node, over the distinct pages of a host with and without articles."""
+    def page(items, text, tag):
+        return f"<body><{tag} class='c'>" + "".join(f"<p>{text} {k}</p>" for k in range(items)) + "</" + tag + "><div class='legal'><p>Rights</p></div></body>"
+
+    htmls = [page(1 + i % 3, f"own {i}", "article" if i % 2 else "div") for i in range(12)]
+    pages = spark.createDataFrame([("h", x) for x in htmls + htmls[:5]], "host string, html string")
+    lists, texts, around = {}, {}, {}
+    for html in htmls:
+        nodes, children = [], {}
+        blocks, _ = op7.page_blocks(html, nodes=nodes)
+        for n in nodes:
+            children.setdefault(n.up, []).append(n.path)
+            around[n.path] = n.up
+        for n in nodes:
+            lists.setdefault(n.path, []).append(tuple(children.get(n.path, ())))
+        for path, text in set(blocks):
+            texts.setdefault(path, []).append(text)
+
+    def entropy(seen):
+        return -sum(c / len(seen) * math.log(c / len(seen), len(seen)) for c in Counter(seen).values()) if len(seen) > 1 else 1.0
+
+    want = {}
+    for path, seen in texts.items():
+        of = lists[around[path]]
+        share = op7.CONTENTS ** len(set(of))
+        want[op7._node("h", path)] = (len(seen), (1 - share) * entropy(of) + share * entropy(seen))
+    got = {r.node % 2**64: (r.m, r.importance) for r in op7.style_nodes(op7.style_blocks(pages)).collect()}
+    assert got.keys() == want.keys() and len(want) == 3  # the article's paragraphs, the plain ones, the rights of plain pages
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+
+
+def test_presentation_decides_beside_contents(spark):
+    """A line that pages repeat stays where the elements around it are laid out differently on each."""
+    rows = [(i, "http://one.org/", f"<body><div class='list'>{'<p>Same line</p>' * (i + 1)}</div><div class='box'><p>Same box</p></div><div><p>own {i}</p></div></body>") for i in range(12)]
+    got = {r.page_id: r.text for r in op7.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == "\n\n".join(["Same line"] * (i + 1) + [f"own {i}"]) for i in range(12))
