@@ -45,9 +45,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     of the least id (of equal ids, of the least text hash; repeated rows leave one).
     Documents without words stay."""
     found = jaccard_components(docs, SHINGLE, PERCENT)
-    chosen = (found.where("n_shingles > 0").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("th")).alias("alone"))
+    chosen = (found.groupBy("component_id", F.when(F.expr("n_shingles = 0"), F.col("did")).alias("empty"),
+                            F.when(F.expr("n_shingles = 0 or component_id is null"), F.col("th")).alias("alone"))
               .agg(F.min(F.struct("did", "th")).alias("at")).select("at.did", "at.th"))
-    chosen = chosen.union(found.where("n_shingles = 0").select("did", "th")).distinct()
     keyed = _keyed(docs)
     kept = keyed.join(chosen, ["did", "th"], "left_semi")
     return kept.dropDuplicates(["did", "th"]).select(*COLUMNS)

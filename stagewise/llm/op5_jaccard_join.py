@@ -333,19 +333,27 @@ def involved(table: pa.Table, percent: int) -> tuple[np.ndarray, ...]:
     return tuple(table.column(c).to_numpy()[rows] for c in ("key", "i", "j", "few", "node", "root"))
 
 
-def _undecided(met: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, tested: DataFrame | None) -> DataFrame:
-    """Pairs that join members of a key in different components: with ``tested`` the likeliest
-    ones by their bitmaps, which need a test, and the pairs of keys with two members that are
-    not among the tested ones; without it links. (Once the former have been tested, every key
-    with two members has had its pair tested.)"""
-    exact = tested is None
-    members = split_join(met.select("key", "node"), roots, ["node"], "left").select(
+def _members(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """``key, node, root`` of the members of every key."""
+    return split_join(met.select("key", "node"), roots, ["node"], "left").select(
         "key", "node", F.coalesce("root", "node").alias("root"))
+
+
+def _open_groups(members: DataFrame) -> DataFrame:
+    """The keys with members of several components, one for equal sets of members."""
     parts = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(node))").alias("members"), F.min("node").alias("least"))
     groups = parts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"),
                                       F.sum("n").alias("all"), F.count("*").alias("parts"), F.expr("bit_xor(members)").alias("members"),
                                       F.min("least").alias("a"), F.max("least").alias("b")).where("parts > 1")
-    groups = saved(groups.dropDuplicates(["members", "all"]).drop("members", "parts"), "jaccard-groups")
+    return saved(groups.dropDuplicates(["members", "all"]).drop("members", "parts"), "jaccard-groups")
+
+
+def _undecided(members: DataFrame, groups: DataFrame, sets: DataFrame, percent: int, tested: DataFrame | None) -> DataFrame:
+    """Pairs that join members of a key in different components: with ``tested`` the likeliest
+    ones by their bitmaps, which need a test, and the pairs of keys with two members that are
+    not among the tested ones; without it links. (Once the former have been tested, every key
+    with two members has had its pair tested.)"""
+    exact = tested is None
     if not exact:
         two = groups.where("all = 2").select("a", "b").join(tested, ["a", "b"], "left_anti")
     open_ = split_join(members, groups.where("all > 2").select("key", "main", "most", "all"), ["key"])
@@ -358,12 +366,13 @@ def _undecided(met: DataFrame, roots: DataFrame, sets: DataFrame, percent: int,
         few_of, many_of = F.least(few_of, fit), F.least(many_of, fit)
     open_ = open_.withColumn("rows", F.ceil((F.col("all") - F.col("most")) / few_of).cast("int")).withColumn("columns", F.ceil(F.col("all") / many_of).cast("int"))
     slot = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), F.col(n)).cast("int")
-    few = open_.where("root <> main").select("key", "node", "root", F.lit(True).alias("few"), slot("rows").alias("i"),
-                                             F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"))
-    many = open_.select("key", "node", "root", F.lit(False).alias("few"),
-                        F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), slot("columns").alias("j"))
+    each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    place = lambda few, i, j: F.struct(F.lit(few).alias("few"), i.alias("i"), j.alias("j"))
+    few = F.transform(each("columns"), lambda j: place(True, slot("rows"), j))
+    many = F.transform(each("rows"), lambda i: place(False, i, slot("columns")))
+    dealt = open_.select("key", "node", "root", F.inline(F.when(F.expr("root <> main"), F.concat(few, many)).otherwise(many)))
     least_first = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    blocks = split_join(few.union(many), sets.select("node", "n", "bits"), ["node"]).select("key", "i", "j", "few", "node", "root", "n", "bits")
+    blocks = split_join(dealt, sets.select("node", "n", "bits"), ["node"]).select("key", "i", "j", "few", "node", "root", "n", "bits")
     if not exact:
         found = sorted_tiles(blocks, ["key", "i", "j"], lambda table: block_edges(table, percent), _PAIRS)
         return found.select(*least_first).union(_bounded(two, sets, percent)).distinct()
@@ -403,21 +412,30 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
              .union(met.groupBy("key").agg(F.min("hub").alias("node"), F.max("hub").alias("hub")).where("node <> hub").select("node", "hub"))
              .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
     pairs = saved(pairs, "jaccard-pairs")
+    # A task also gives its last row and those of hot keys, which may be alone; alone they need no set.
     shared = met.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
-    met = split_join(met, shared, ["key"])
     at = rows.where("node is not null").groupBy("node").agg(F.min(F.struct("did", "th")).alias("at"))
-    wanted = at.join(met.select("node").distinct(), "node").select("node", "at.did", "at.th")
+    wanted = at.join(split_join(met, shared, ["key"]).select("node").distinct(), "node").select("node", "at.did", "at.th")
     sets = saved(_signatures(docs.join(wanted, ["did", "th"]).dropDuplicates(["node"]), shingle), "jaccard-signatures")
     links = saved(_linked(_bounded(pairs, sets, percent), sets, percent), "jaccard-links")
     roots = components(links, "jaccard-components")
     # The likeliest pairs mostly join components; what is left apart is then compared by its
     # sets, so that no link is missed.
+    members = _members(met, roots)
+    groups = _open_groups(members)
     for tested in (pairs, None):
-        more = _undecided(met, roots, sets, percent, tested)
-        more = saved(more if tested is None else _linked(more, sets, percent), "jaccard-links")
+        if groups.isEmpty():
+            break
+        # Saved between its steps: the driver plans anew after each shuffle of a plan, and keeps the
+        # figures of each time, so that its memory grows with the square of a plan's shuffles.
+        more = saved(_undecided(members, groups, sets, percent, tested), "jaccard-likely")
+        if tested is not None and not more.isEmpty():
+            more = saved(_linked(more, sets, percent), "jaccard-links")
         if not more.isEmpty():
             links = links.union(more)
             roots = components(links, "jaccard-components")
+            members = _members(met, roots)
+            groups = _open_groups(members) if tested is not None else groups
     rooted = split_join(rows.where("node is not null"), roots, ["node"], "left").select(
         "did", "th", "n_shingles", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min(doc_id_of("did")).alias("component_id"))

@@ -269,6 +269,29 @@ def test_jaccard_sends_edges_in_proportion(spark, monkeypatch):
     assert made[2] <= 6 * max(made[0], 50), made
 
 
+def test_near_duplicate_plans_stay_small(spark, monkeypatch):
+    """The driver plans anew after each shuffle of a plan and keeps the figures of each time: with plans of
+    twenty shuffles and more, of which most came twice, the pipeline's driver grew over its memory."""
+    import corpus_pipeline
+
+    shuffles, save = {}, op5.saved
+
+    def counted(df, label):
+        shuffles[label] = max(shuffles.get(label, 0), df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return save(df, label)
+    for module in ("components", "op5_jaccard_join"):
+        monkeypatch.setattr(f"stagewise.llm.{module}.saved", counted)
+    texts = near_copies(60) + ["", " ", "one"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counted(corpus_pipeline.near_duplicates(spark, docs, ""), "result")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {"jaccard-groups", "jaccard-components", "result"} <= set(shuffles) and max(shuffles.values()) <= 16, shuffles
+
+
 @pytest.mark.parametrize("html", [
     "<a " * 350_000, "<div>" * 200_000 + "x", "<span hidden>" * 80_000, "<span hidden><div>x" * 50_000 + "</span>", "<script " * 120_000,
     "<! " * 300_000, "<a \"" * 250_000, "<a<a" * 250_000, "<a " + "x" * 1_000_000 + ">", "<div>" * 100_000 + "</p>" * 100_000, "<nav>" + "<article>" * 30_000,
