@@ -10,10 +10,12 @@ above by bit counts, and only pairs that pass are intersected exactly.
 A group of near copies meets under the same keys many times over. It is not expanded
 into pairs: its members are compared with the first member of each key, and after the
 components of those links are known, only members of a group that are still in different
-components are compared, in blocks of bounded size: first by bitmaps alone, of which a
-block sends the likeliest pairs that would join its components, then, of what is still
-apart, by the sets of those whose bitmaps leave them a partner, of which it sends the links
-that do. Either way a block sends
+components are compared, in blocks of bounded size. First by bitmaps alone: each member has
+one place under each of its keys, and a place finds the likeliest pairs that would join the
+components of its members. A pair is sent by the first place alone that both of its sets
+have, so that once however many keys they share. Then, of what is still apart, all pairs of
+a key are compared, by the sets of those whose bitmaps leave them a partner, and a block
+sends the links that join its components. Either way a block sends
 fewer pairs than it has members. The one pair of a key that two sets have is tested by
 itself. No link between two components is lost, and pairs within one need no test.
 """
@@ -36,6 +38,8 @@ from stagewise.llm.components import components
 
 #: Members of an undecided group that one block compares: those outside its main component, and all.
 FEW, MANY = 256, 2048
+#: Members of an undecided group that one place compares by their bitmaps.
+PLACE = 1024
 #: Bytes of sets that either side of a block holds where sets are compared.
 BLOCK_BYTES = 16 << 20
 #: Bits of a bitmap for each item: at eight, pairs that pass without a link are few.
@@ -290,14 +294,15 @@ def spanning(left: np.ndarray, right: np.ndarray, score: np.ndarray, accept: Cal
     return chosen
 
 
-def candidates(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A block's pairs of rows of different components that bit counts allow to link, and how likely."""
+def candidates(table: pa.Table, percent: int, place: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's pairs of rows of different components that bit counts allow to link, and how likely.
+    In a ``place`` each member has one row, so that the few are compared with each other too."""
     few, root, n = (table.column(c).to_numpy() for c in ("few", "root", "n"))
     bits = table.column("bits").to_pylist()
     words, found = np.array([len(x) for x in bits]), [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
     for wa in np.unique(words):
         for wb in (wa // 2, wa, wa * 2):
-            rows, columns = np.flatnonzero(few & (words == wa)), np.flatnonzero(~few & (words == wb))
+            rows, columns = np.flatnonzero(few & (words == wa)), np.flatnonzero((place | ~few) & (words == wb))
             if not len(rows) or not len(columns):
                 continue
             a, b = (_folded(_words([bits[i] for i in at]), min(wa, wb) // 8) for at in (rows, columns))
@@ -306,7 +311,8 @@ def candidates(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, n
                 part = rows[s:s + step]
                 total = n[part][:, None] + n[columns][None]
                 most = most_shared(a[s:s + step, None], n[part][:, None], b[None], n[columns][None])
-                x, y = np.nonzero((most * (100 + percent) >= total * percent) & (root[part][:, None] != root[columns][None]))
+                apart = (root[part][:, None] != root[columns][None]) & (~few[columns][None] | (part[:, None] < columns[None]))
+                x, y = np.nonzero((most * (100 + percent) >= total * percent) & apart)
                 found.append((part[x], columns[y], most[x, y] / total[x, y]))
     return tuple(np.concatenate(part) for part in zip(*found))
 
@@ -326,6 +332,32 @@ def block_edges(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return node[x[chosen]], node[y[chosen]]
 
 
+def place_edges(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a place's ``candidates`` those that would join components, the likeliest first, without
+    the pairs whose sets meet in an earlier place too (``before``).
+
+    Of equally likely pairs the order is that of their nodes, the same everywhere. So a pair that
+    an earlier place does not choose is joined there by pairs before it in that order, and what
+    all places send joins the same components as without leaving out any."""
+    node, root = (table.column(c).to_numpy() for c in ("node", "root"))
+    x, y, score = candidates(table, percent, place=True)
+    least_first = np.lexsort((np.maximum(node[x], node[y]), np.minimum(node[x], node[y])))
+    x, y, score = x[least_first], y[least_first], score[least_first]
+    chosen = np.array(spanning(root[x], root[y], score), np.int64)
+    x, y = x[chosen], y[chosen]
+    before = table.column("before").combine_chunks()
+    ends, places = before.offsets.to_numpy().astype(np.int64), before.values.to_numpy().astype(np.int64) & 0xFFFFFFFF
+    both = []
+    for side in (x, y):
+        length = ends[side + 1] - ends[side]
+        at = np.arange(length.sum()) + np.repeat(ends[side] - np.cumsum(length) + length, length)
+        both.append(np.repeat(np.arange(len(side)), length) << 32 | places[at])
+    both = np.sort(np.concatenate(both))
+    first = np.ones(len(x), bool)
+    first[both[1:][both[1:] == both[:-1]] >> 32] = False
+    return node[x[first]], node[y[first]]
+
+
 def involved(table: pa.Table, percent: int) -> tuple[np.ndarray, ...]:
     """The rows of a block that are in one of its ``candidates``."""
     x, y, _ = candidates(table, percent)
@@ -348,6 +380,19 @@ def _open_groups(members: DataFrame) -> DataFrame:
     return saved(groups.dropDuplicates(["members", "all"]).drop("members", "parts"), "jaccard-groups")
 
 
+def _placed(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """``place, few, before, node, root, n, bits``: one row for each key of each member. A key
+    of many members has several places, into which it deals them in an order of its own, so that
+    others meet under another key. ``before`` has half of each hash of the set's lesser places;
+    halves equal by chance leave a pair to the comparison by sets."""
+    slot = F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("all") / F.lit(PLACE)))
+    at = open_.select("node", "root", F.xxhash64("key", slot).alias("place"), F.expr("root <> main").alias("few"))
+    own = (at.groupBy("node", "root").agg(F.array_sort(F.collect_list(F.struct("place", "few"))).alias("at"))
+           .withColumn("half", F.transform("at.place", lambda place: F.shiftright(place, 32).cast("int"))))
+    each = F.transform("at", lambda x, i: F.struct(x["place"].alias("place"), x["few"].alias("few"), F.slice("half", F.lit(1), i).alias("before")))
+    return own.join(sets.select("node", "n", "bits"), "node").select(F.inline(each), "node", "root", "n", "bits")
+
+
 def _undecided(members: DataFrame, groups: DataFrame, sets: DataFrame, percent: int, tested: DataFrame | None) -> DataFrame:
     """Pairs that join members of a key in different components: with ``tested`` the likeliest
     ones by their bitmaps, which need a test, and the pairs of keys with two members that are
@@ -357,13 +402,15 @@ def _undecided(members: DataFrame, groups: DataFrame, sets: DataFrame, percent:
     if not exact:
         two = groups.where("all = 2").select("a", "b").join(tested, ["a", "b"], "left_anti")
     open_ = split_join(members, groups.where("all > 2").select("key", "main", "most", "all"), ["key"])
-    few_of, many_of = F.lit(FEW), F.lit(MANY)
-    if exact:
-        # Sets of a tile are about as large as one another, so their greatest size tells how many fit.
-        open_ = saved(split_join(open_, sets.select("node", "n"), ["node"]), "jaccard-open")
-        open_ = split_join(open_, open_.groupBy("key").agg(F.max("n").alias("largest")), ["key"]).drop("n")
-        fit = F.greatest(F.lit(1), F.floor(F.lit(BLOCK_BYTES) / (F.col("largest") * 8)))
-        few_of, many_of = F.least(few_of, fit), F.least(many_of, fit)
+    least_first = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    if not exact:
+        found = sorted_tiles(_placed(open_, sets), ["place"], lambda table: place_edges(table, percent), _PAIRS)
+        return found.select(*least_first).union(_bounded(two, sets, percent)).distinct()
+    # Sets of a tile are about as large as one another, so their greatest size tells how many fit.
+    open_ = saved(split_join(open_, sets.select("node", "n"), ["node"]), "jaccard-open")
+    open_ = split_join(open_, open_.groupBy("key").agg(F.max("n").alias("largest")), ["key"]).drop("n")
+    fit = F.greatest(F.lit(1), F.floor(F.lit(BLOCK_BYTES) / (F.col("largest") * 8)))
+    few_of, many_of = F.least(F.lit(FEW), fit), F.least(F.lit(MANY), fit)
     open_ = open_.withColumn("rows", F.ceil((F.col("all") - F.col("most")) / few_of).cast("int")).withColumn("columns", F.ceil(F.col("all") / many_of).cast("int"))
     slot = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), F.col(n)).cast("int")
     each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
@@ -371,11 +418,7 @@ def _undecided(members: DataFrame, groups: DataFrame, sets: DataFrame, percent:
     few = F.transform(each("columns"), lambda j: place(True, slot("rows"), j))
     many = F.transform(each("rows"), lambda i: place(False, i, slot("columns")))
     dealt = open_.select("key", "node", "root", F.inline(F.when(F.expr("root <> main"), F.concat(few, many)).otherwise(many)))
-    least_first = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     blocks = split_join(dealt, sets.select("node", "n", "bits"), ["node"]).select("key", "i", "j", "few", "node", "root", "n", "bits")
-    if not exact:
-        found = sorted_tiles(blocks, ["key", "i", "j"], lambda table: block_edges(table, percent), _PAIRS)
-        return found.select(*least_first).union(_bounded(two, sets, percent)).distinct()
     # Sets are sent for rows alone that bit counts leave a partner.
     rows = saved(sorted_tiles(blocks, ["key", "i", "j"], lambda table: involved(table, percent),
                               "key long, i int, j int, few boolean, node long, root long"), "jaccard-involved")

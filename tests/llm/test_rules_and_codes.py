@@ -269,6 +269,60 @@ def test_jaccard_sends_edges_in_proportion(spark, monkeypatch):
     assert made[2] <= 6 * max(made[0], 50), made
 
 
+def test_places_send_a_pair_once():
+    """Sets that share many places are sent as few pairs, which join what the pairs of all places would."""
+    rnd, texts = random.Random(4), near_copies(70) + near_copies(50, seed=10)
+    items = list(op5.Shingles(3).of(pa.array([t.encode() for t in texts])))
+    bits, node, root = [op5.bitmap(x) for x in items], np.arange(len(texts)) * 7, np.where(np.arange(len(texts)) < 6, 0, np.arange(len(texts)) * 7)
+    places = sorted(rnd.randrange(-(2**62), 2**62) for _ in range(12))
+    own = [sorted(rnd.sample(places, rnd.randrange(1, 9))) for _ in texts]
+    sent, alone, every = [], [], []
+    for place in places:
+        at = [i for i, p in enumerate(own) if place in p]
+        table = pa.table({"place": [place] * len(at), "few": root[at] != 0, "before": pa.array([[q >> 32 for q in own[i] if q < place] for i in at], pa.list_(pa.int32())),
+                          "node": node[at], "root": root[at], "n": [len(items[i]) for i in at], "bits": [bits[i] for i in at]})
+        sent += list(zip(*(x.tolist() for x in op5.place_edges(table, 75))))
+        nothing = pa.array([[]] * len(at), pa.list_(pa.int32()))
+        alone += list(zip(*(x.tolist() for x in op5.place_edges(table.set_column(2, "before", nothing), 75))))
+        x, y, _ = op5.candidates(table, 75, place=True)
+        every += list(zip(node[at][x].tolist(), node[at][y].tolist()))
+
+    def joined(edges):
+        label = dict(zip(node.tolist(), root.tolist()))
+        for a, b in edges:
+            x, y = label[a], label[b]
+            label = {k: min(x, y) if v in (x, y) else v for k, v in label.items()}
+        return label
+    assert joined(sent) == joined(every) and len(set(joined(sent).values())) < len(texts) - 40
+    pairs = {frozenset(p) for p in sent}
+    assert len(pairs) == len(sent) and 2 * len(sent) < len(alone) < len(every)
+
+
+def test_jaccard_places_send_less_than_their_members(spark, monkeypatch):
+    """Near copies that share many keys were sent under each, and in each block of a large key."""
+    sent, rows, tiles = [], [], op5.sorted_tiles
+
+    def counted(df, keys, one, schema):
+        found = tiles(df, keys, one, schema).cache()
+        if schema == op5._PAIRS and "items" not in df.columns:
+            rows.append(df.count())
+            sent.append(found.count())
+        return found
+    monkeypatch.setattr(op5, "sorted_tiles", counted)
+    for name, size in {"PLACE": 24, "FEW": 6, "MANY": 48}.items():
+        monkeypatch.setattr(op5, name, size, raising=False)
+    for n in (100, 400):
+        texts = near_copies(n)
+        got = {r.did: r.component_id for r in op5.jaccard_components(spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], DOCS)).collect()}
+        sets, root = shingle_sets(texts), list(range(n))
+        for i in range(n):
+            for j in range(i):
+                if root[i] != root[j] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+                    root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+        assert got == dict(enumerate(root)) and len(set(root)) < n
+    assert sent[0] < 100 and sent[1] < 400 and rows[1] <= 6 * rows[0], (sent, rows)
+
+
 def test_near_duplicate_plans_stay_small(spark, monkeypatch):
     """The driver plans anew after each shuffle of a plan and keeps the figures of each time: with plans of
     twenty shuffles and more, of which most came twice, the pipeline's driver grew over its memory."""
